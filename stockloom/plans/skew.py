@@ -1,0 +1,20 @@
+"""Join shape for keys of which one may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 32
+
+
+def salted_join(many: DataFrame, one: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = SALTS):
+    """Join `many` to `one`, which has one row per key, with hot keys spread out.
+
+    Rows of `many` get a salt from `spread_by`, rows of `one` are repeated once
+    per salt, so a key holding a third of `many` is shared by `salts` tasks.
+    `one` grows by the factor `salts`, whatever the data.
+    """
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -14,6 +14,7 @@ from stockloom.operators import build, choose, facts, lookup, reshape, search, t
 from stockloom.operators.upsert import last_write_wins
 from stockloom.plans import load
 from stockloom.sources import tables
+from stockloom.sources.store import settled
 from stockloom.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,7 +165,7 @@ def statement_quarter(x):
 
 @query
 def price_history_range(x):
-    return lookup.price_history(x.graph.company, x.graph.stock_price, None, *RANGE)
+    return lookup.price_history(x.graph.stock_price, None, *RANGE)
 
 
 @query
@@ -214,17 +215,17 @@ def shareholders(x):
 
 @query
 def price_history(x):
-    return lookup.price_history(x.graph.company, x.graph.stock_price)
+    return lookup.price_history(x.graph.stock_price)
 
 
 @query
 def indicators(x):
-    return lookup.indicators(x.graph.company, x.graph.financial_indicator)
+    return lookup.indicators(x.graph.financial_indicator)
 
 
 @query
 def indicators_latest(x):
-    return lookup.indicators(x.graph.company, x.graph.financial_indicator, latest_only=True)
+    return lookup.indicators(x.graph.financial_indicator, latest_only=True)
 
 
 @query
@@ -315,7 +316,7 @@ def loaded_symbols(x):
 
 @query
 def price_tail(x):
-    return lookup.price_tail(x.graph.company, x.graph.stock_price)
+    return lookup.price_tail(x.graph.stock_price)
 
 
 # --- graph tables -------------------------------------------------------------------
@@ -518,7 +519,8 @@ def _largest_per_sector(x, companies):
 def khop(x):
     """Two steps around the largest company of each sector."""
     seeds = _largest_per_sector(x, x.overview.select("symbol")).select(F.col("symbol").alias("seed"))
-    return traverse.khop(traverse.both_ways(facts.relations(x.graph)), seeds, 2)
+    edges = settled(traverse.both_ways(facts.relations(x.graph)), "edges")
+    return traverse.khop(edges, seeds, 2)
 
 
 @query
@@ -526,7 +528,7 @@ def node_search(x):
     """Every nation's name with its region, looked up among the entities."""
     nations = x.table("nation").join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     asked = nations.select(F.col("n_name").alias("query_id"), F.concat_ws(" ", "n_name", "r_name").alias("text"))
-    return search.node_search(facts.entities(x.graph), asked)
+    return search.node_search(settled(facts.entities(x.graph), "entities"), asked)
 
 
 @query
@@ -540,11 +542,11 @@ def fact_search(x):
         F.concat_ws(" ", F.lit("subsidiary or stake of"), "symbol", "short_name").alias("text"),
     )
     questions = asked.join(vectors.withColumnRenamed("node", "seed"), "seed")
-    edges = traverse.both_ways(facts.relations(x.graph))
-    reached = traverse.khop(edges, asked.select("seed"), 1).join(asked.select("query_id", "seed"), "seed")
-    return search.fact_search(
-        facts.edge_facts(x.graph), questions, reached.select("query_id", "node", "distance"), vectors
+    found = settled(facts.edge_facts(x.graph), "facts")
+    reached = traverse.khop(traverse.both_ways(found), asked.select("seed"), 1).join(
+        asked.select("query_id", "seed"), "seed"
     )
+    return search.fact_search(found, questions, reached.select("query_id", "node", "distance"), vectors)
 
 
 def symbol_c(key):

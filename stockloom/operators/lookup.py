@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockloom.functions import columns as C
-from stockloom.operators.build import known
 from stockloom.plans.skew import salted_join
 from stockloom.sources.tables import Symbols, only
 
@@ -77,26 +76,28 @@ def shareholders(company: DataFrame, edges: DataFrame, symbols: Symbols = None)
     ).orderBy("symbol", F.desc("stake_pct"), "holder_symbol")
 
 
-def price_history(company: DataFrame, prices: DataFrame, symbols: Symbols = None, start=None, end=None) -> DataFrame:
-    """Daily prices of existing companies in an inclusive range, oldest first."""
-    rows = C.between_days(only(prices, symbols), start, end)
-    return known(rows, company).orderBy("symbol", "date")
+def price_history(prices: DataFrame, symbols: Symbols = None, start=None, end=None) -> DataFrame:
+    """Daily prices in an inclusive range, oldest first.
+
+    `prices` is the node table: it holds existing companies only, so the way
+    from the company to its prices is the symbol column.
+    """
+    return C.between_days(only(prices, symbols), start, end).orderBy("symbol", "date")
 
 
-def price_tail(company: DataFrame, prices: DataFrame, symbols: Symbols = None, days: int = 30) -> DataFrame:
+def price_tail(prices: DataFrame, symbols: Symbols = None, days: int = 30) -> DataFrame:
     """The last `days` price rows of each company, oldest first."""
     newest = W.partitionBy("symbol").orderBy(F.desc("date"))
-    rows = known(only(prices, symbols), company)
-    rows = rows.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= days)
+    rows = only(prices, symbols).withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= days)
     return rows.drop("_place").orderBy("symbol", "date")
 
 
-def indicators(company: DataFrame, values: DataFrame, symbols: Symbols = None, latest_only: bool = False) -> DataFrame:
+def indicators(values: DataFrame, symbols: Symbols = None, latest_only: bool = False) -> DataFrame:
     """Indicators of existing companies, newest period first.
 
     `latest_only` keeps each metric's newest period.
     """
-    rows = known(only(values, symbols), company)
+    rows = only(values, symbols)
     if latest_only:
         newest = F.max(F.struct("year", "quarter", "value")).alias("_newest")
         rows = rows.groupBy("symbol", "metric").agg(newest).select("symbol", "metric", "_newest.*")

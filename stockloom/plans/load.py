@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, fields
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,29 +31,40 @@ class Sources:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "versions"}
 
 
-@dataclass
 class Graph:
-    """Node and edge tables.
+    """Node and edge tables by name, each planned when it is first asked for.
 
     HAS_PRICE, HAS_STATEMENT and HAS_INDICATOR are the symbol column of their
     child table and are not stored a second time.
     """
 
-    company: DataFrame
-    industry: DataFrame
-    sector: DataFrame
-    stock_price: DataFrame
-    financial_statement: DataFrame
-    financial_indicator: DataFrame
-    officer: DataFrame
-    belongs_to_industry: DataFrame
-    industry_in_sector: DataFrame
-    subsidiary_of: DataFrame
-    holds_stake_in: DataFrame
-    led_by: DataFrame
+    TABLES = (
+        "company",
+        "industry",
+        "sector",
+        "stock_price",
+        "financial_statement",
+        "financial_indicator",
+        "officer",
+        "belongs_to_industry",
+        "industry_in_sector",
+        "subsidiary_of",
+        "holds_stake_in",
+        "led_by",
+    )
+
+    def __init__(self, **makers: Callable[[], DataFrame]) -> None:
+        self._makers = makers
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in Graph.TABLES:
+            raise AttributeError(name)
+        table = self._makers[name]()
+        setattr(self, name, table)
+        return table
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in Graph.TABLES}
 
 
 def choose_sources(primary: Sources, secondary: Sources) -> Sources:
@@ -89,26 +100,41 @@ def build_graph(sources: Sources, symbols: DataFrame | str | list[str] | None =
     """Node and edge tables of all symbols, or of the given ones."""
     s = restrict(sources, symbols)
     order = lambda name: s.versions.get(name, ())
-    master = build.master_companies(s.overview, order("overview"))
-    children = build.subsidiary_rows(s.subsidiaries, master, order("subsidiaries"))
-    child_stubs = build.child_stubs(children, master)
-    named = build.with_stubs(master, child_stubs)
-    holders = build.holder_rows(s.shareholders, master, order("shareholders"))
-    resolved = build.resolve_holders(holders, named)
-    officers = build.led_by(s.officers, master, order("officers"))
+
+    @cache
+    def master():
+        return build.master_companies(s.overview, order("overview"))
+
+    @cache
+    def children():
+        return build.subsidiary_rows(s.subsidiaries, master(), order("subsidiaries"))
+
+    @cache
+    def named():
+        return build.with_stubs(master(), build.child_stubs(children(), master()))
+
+    @cache
+    def resolved():
+        holders = build.holder_rows(s.shareholders, master(), order("shareholders"))
+        return build.resolve_holders(holders, named())
+
+    @cache
+    def led_by():
+        return build.led_by(s.officers, master(), order("officers"))
+
     return Graph(
-        company=build.with_stubs(named, build.holder_stubs(resolved, named)),
-        industry=build.industries(s.overview),
-        sector=build.sectors(s.overview),
-        stock_price=build.stock_prices(s.prices, master, order("prices")),
-        financial_statement=build.statement_nodes(s.statements, master, order("statements")),
-        financial_indicator=build.indicator_nodes(s.ratios, master, order("ratios")),
-        officer=build.officer_nodes(officers),
-        belongs_to_industry=build.industry_links(s.overview, master),
-        industry_in_sector=build.industry_in_sector(s.overview),
-        subsidiary_of=build.subsidiary_edges(children),
-        holds_stake_in=build.stake_edges(resolved),
-        led_by=officers,
+        company=lambda: build.with_stubs(named(), build.holder_stubs(resolved(), named())),
+        industry=lambda: build.industries(s.overview),
+        sector=lambda: build.sectors(s.overview),
+        stock_price=lambda: build.stock_prices(s.prices, master(), order("prices")),
+        financial_statement=lambda: build.statement_nodes(s.statements, master(), order("statements")),
+        financial_indicator=lambda: build.indicator_nodes(s.ratios, master(), order("ratios")),
+        officer=lambda: build.officer_nodes(led_by()),
+        belongs_to_industry=lambda: build.industry_links(s.overview, master()),
+        industry_in_sector=lambda: build.industry_in_sector(s.overview),
+        subsidiary_of=lambda: build.subsidiary_edges(children()),
+        holds_stake_in=lambda: build.stake_edges(resolved()),
+        led_by=led_by,
     )
 
 

@@ -26,6 +26,24 @@ VERSIONS = {
 }
 
 
+# Layouts of the test tables; stated, so that opening one reads no file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def symbol_of(letter: str, key: str) -> Column:
     return F.concat(F.lit(letter), F.col(key).cast("string"))
 
@@ -36,9 +54,13 @@ class Extracts:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        if name not in self._tables:
+            path = os.path.join(self.folder, f"{name}.parquet")
+            self._tables[name] = self.spark.read.schema(TABLES[name]).parquet(path)
+        return self._tables[name]
 
     def _placed(self, df: DataFrame, nation: str) -> DataFrame:
         nations = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom import schemas
-from stockloom.catalog.extracts import VERSION, Extracts
+from stockloom.catalog.extracts import TABLES, VERSION, Extracts, price_columns, symbol_of
 from stockloom.functions import columns as C
 from stockloom.operators import build, choose, facts, lookup, reshape, search, traverse
 from stockloom.operators.upsert import last_write_wins
 from stockloom.plans import load
+from stockloom.plans.joins import settled
 from stockloom.sources import tables
-from stockloom.sources.store import settled
 from stockloom.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,14 +193,16 @@ def prices_known_companies(x):
 
 @query
 def peers(x):
-    return lookup.peers(x.graph.company, x.graph.belongs_to_industry)
+    # Companies only referred to have no industry, so the master is enough here.
+    return lookup.peers(build.master_companies(x.overview), x.graph.belongs_to_industry)
 
 
 @query
 def peers_one(x):
     """The peers of the largest company."""
-    largest = x.graph.company.orderBy(F.desc("market_cap"), "symbol").limit(1)
-    return lookup.peers_of(x.graph.company, x.graph.belongs_to_industry, largest)
+    master = build.master_companies(x.overview)
+    largest = master.orderBy(F.desc("market_cap"), "symbol").limit(1)
+    return lookup.peers_of(master, x.graph.belongs_to_industry, largest)
 
 
 @query
@@ -417,20 +419,13 @@ def daily_upsert(x):
 @query
 def stream_upsert(x):
     """The line items as a file stream into the price log, read back as the current table."""
-    schema = x.table("lineitem").schema
-    stream = daily.price_stream(x.spark, x.folder, schema, "lineitem.parquet")
-    prices = stream.select(*_stream_columns())
+    stream = daily.price_stream(x.spark, x.folder, TABLES["lineitem"], "lineitem.parquet")
+    prices = stream.select(*price_columns(F.col("l_extendedprice")))
     company = build.master_companies(x.overview)
     prepare = lambda batch: build.known(C.coerce_prices(batch, VERSION), company)
     return daily.streamed_prices(prices, prepare, VERSION)
 
 
-def _stream_columns():
-    from stockloom.catalog.extracts import price_columns
-
-    return price_columns(F.col("l_extendedprice"))
-
-
 # --- episodes, facts, search ----------------------------------------------------------
 
 
@@ -534,20 +529,13 @@ def node_search(x):
 @query
 def fact_search(x):
     """Who holds a stake in, and what are the subsidiaries of, each sector's largest company with a vector."""
-    vectors = x.table("embeddings").select(symbol_c("vec_id").alias("node"), "embedding")
+    vectors = x.table("embeddings").select(symbol_of("C", "vec_id").alias("node"), "embedding")
     companies = vectors.select(F.col("node").alias("symbol"))
     asked = _largest_per_sector(x, companies).select(
         F.col("sector").alias("query_id"),
         F.col("symbol").alias("seed"),
         F.concat_ws(" ", F.lit("subsidiary or stake of"), "symbol", "short_name").alias("text"),
     )
-    questions = asked.join(vectors.withColumnRenamed("node", "seed"), "seed")
+    questions = settled(asked.join(vectors.withColumnRenamed("node", "seed"), "seed"), "questions")
     found = settled(facts.edge_facts(x.graph), "facts")
-    reached = traverse.khop(traverse.both_ways(found), asked.select("seed"), 1).join(
-        asked.select("query_id", "seed"), "seed"
-    )
-    return search.fact_search(found, questions, reached.select("query_id", "node", "distance"), vectors)
-
-
-def symbol_c(key):
-    return F.concat(F.lit("C"), F.col(key).cast("string"))
+    return search.fact_search(found, questions, traverse.both_ways(found), vectors)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stockloom import schemas
 from stockloom.plans.load import Graph
-from stockloom.plans.skew import salted_join
+from stockloom.plans.joins import salted_join
 
 GROUP_ID = "market_facts"
 SOURCE_LABEL = "market"

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockloom.functions import columns as C
-from stockloom.plans.skew import salted_join
+from stockloom.plans.joins import salted_join
 from stockloom.sources.tables import Symbols, only
 
 

@@ -1,10 +1,12 @@
-"""Join shape for keys of which one may hold a large share of the rows."""
+"""Shapes for joins: hot keys, and small tables whose size the planner cannot guess."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.session import work_dir
+
 SALTS = 32
 
 
@@ -18,3 +20,15 @@ def salted_join(many: DataFrame, one: DataFrame, key: str, spread_by: str, how:
     salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    For a table that several later steps start from: they read it instead of
+    each computing it again, a lost executor costs them one read, and the
+    planner knows its size, so it broadcasts the table only if it is small.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

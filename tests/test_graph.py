@@ -1,0 +1,220 @@
+"""Node and edge tables, and the questions over them, on small frames."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stockloom.operators import build, lookup, reshape
+from stockloom.operators.upsert import last_write_wins, merge_batch
+from stockloom.plans import load
+from stockloom.sources.store import read_graph, write_graph
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_last_write_keeps_one_whole_row(spark):
+    random.seed(7)
+    rows = [(random.choice("AB"), random.randint(1, 3), random.randint(0, 4), random.random()) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, d int, seq int, v double").repartition(7)
+    want = {}
+    for k, d, seq, v in rows:
+        want[(k, d)] = max(want.get((k, d), (-1, 0.0)), (seq, v))
+    out = last_write_wins(df, ["k", "d"], ["seq"])
+    assert got(out) == sorted([(k, d, v) for (k, d), (_, v) in want.items()], key=repr)
+
+
+def test_later_null_replaces_a_value(spark):
+    df = spark.createDataFrame([("A", 1, 5.0), ("A", 2, None)], "k string, seq int, v double")
+    assert got(last_write_wins(df, ["k"], ["seq"])) == [("A", None)]
+
+
+def test_batch_replaces_and_adds(spark):
+    now = spark.createDataFrame([("A", 1), ("B", 2)], "k string, v int")
+    batch = spark.createDataFrame([("B", 0, 1), ("C", 3, 1), ("C", 4, 2)], "k string, v int, seq int")
+    once = merge_batch(now, batch, ["k"], ["seq"])
+    assert got(once) == [("A", 1), ("B", 0), ("C", 4)]
+    assert got(merge_batch(once, batch, ["k"], ["seq"])) == got(once)
+
+
+@pytest.fixture()
+def sources(spark):
+    make = spark.createDataFrame
+    return load.Sources(
+        overview=make(
+            [("A", "Alpha", "Bank", "Fin", 30), ("B", "", "Bank", "Fin", 20), ("C", None, "", None, None), (None, "x", "y", "z", 1)],
+            "symbol string, short_name string, industry string, sector string, market_cap bigint",
+        ),
+        prices=make(
+            [("A", "2025-01-02", 1.0, 1), ("A", "2025-01-02", 2.0, 2), ("Z", "2025-01-02", 3.0, 1), ("A", None, 4.0, 1)],
+            "symbol string, date string, close double, seq int",
+        ),
+        statements=make(
+            [("A", "cash_flow", "quarter", 2024, 1, "m", 1.0), ("A", "cash_flow", "quarter", 2024, 1, "n", None),
+             ("A", "cash_flow", "year", 2024, None, "m", 9.0), ("B", "cash_flow", "quarter", None, 1, "m", 1.0)],
+            "symbol string, statement_type string, period string, year int, quarter int, metric string, value double",
+        ),
+        ratios=make([("A", 2024, 1, "pe", 7.0), ("Z", 2024, 1, "pe", 7.0)], "symbol string, year int, quarter int, metric string, value double"),
+        officers=make(
+            [("A", "Ann", "Chair", 1.0), ("B", "Ann", "Member", None), ("B", "", "Ghost", 1.0), ("Z", "Zed", "Chair", 1.0)],
+            "symbol string, officer_name string, officer_position string, officer_own_percent double",
+        ),
+        shareholders=make(
+            [("A", "B", 10.0), ("B", "Alpha", 20.0), ("A", "Kid One", 5.0), ("A", "Fund", 6.0), ("B", "Fund", 7.0),
+             ("Z", "Alpha", 1.0), ("A", None, 1.0), ("A", "A", 1.0)],
+            "symbol string, share_holder string, share_own_percent double",
+        ),
+        subsidiaries=make(
+            [("B", "K1", "Kid One", 51.0, "sub"), ("A", "K1", "Kid Uno", 49.0, ""), ("A", "B", "ignored", 60.0, "sub"),
+             ("Z", "K9", "Kid Nine", 1.0, "sub"), ("A", "", "none", 1.0, "sub"), ("B", "K2", None, 1.0, None)],
+            "parent_symbol string, sub_organ_code string, organ_name string, ownership_percent double, type string",
+        ),
+        versions={"prices": ("seq",)},
+    )
+
+
+def test_full_load(spark, sources):
+    g = load.build_graph(sources)
+    assert got(g.company.select("symbol", "name", "market_cap")) == [
+        ("A", "Alpha", 30),
+        ("B", "B", 20),
+        ("C", "C", 0),
+        ("Fund", "Fund", None),
+        ("K1", "Kid Uno", None),  # named by its smallest parent
+        ("K2", "K2", None),
+        ("Kid One", "Kid One", None),  # no company has this name, so a holder of its own
+    ]
+    assert got(g.belongs_to_industry) == [("A", "Bank"), ("B", "Bank")]
+    assert got(g.industry) == [("Bank",), ("y",)] and got(g.industry_in_sector) == [("Bank", "Fin"), ("y", "z")]
+    assert [(r.symbol, r.close, r.open, r.volume) for r in g.stock_price.collect()] == [("A", 2.0, 0.0, 0)]
+    assert got(g.led_by) == [("A", "Ann", "Chair", 1.0), ("B", "Ann", "Member", 0.0)]
+    assert got(g.officer) == [("Ann", "Member", 0.0)]  # the largest symbol's values stand
+    assert got(g.subsidiary_of) == [("B", "A", 60.0, "sub"), ("K1", "A", 49.0, ""), ("K1", "B", 51.0, "sub"), ("K2", "B", 1.0, "")]
+    assert got(g.holds_stake_in) == [
+        ("A", "A", 1.0), ("A", "B", 20.0), ("B", "A", 10.0), ("Fund", "A", 6.0), ("Fund", "B", 7.0), ("Kid One", "A", 5.0),
+    ]
+    assert got(g.financial_indicator) == [("A", "pe", 2024, 1, 7.0)]
+    assert got(reshape.payload_json(g.financial_statement)) == [
+        ("A", "cash_flow", "quarter", 2024, 1, '{"m":1.0}'),
+        ("A", "cash_flow", "year", 2024, 0, '{"m":9.0}'),
+    ]
+
+
+def test_stored_graph_reads_back_and_a_second_load_changes_nothing(spark, sources, tmp_path):
+    root = str(tmp_path)
+    write_graph(load.build_graph(sources), root)
+    first = {n: got(df) for n, df in read_graph(spark, root).tables().items()}
+    write_graph(load.build_graph(sources), root)
+    assert {n: got(df) for n, df in read_graph(spark, root).tables().items()} == first
+    assert all(first[n] for n in first)
+
+
+def test_subset_load_drops_symbols_the_master_lacks(spark, sources):
+    g = load.build_graph(sources, ["B", "Z"])
+    assert {r.symbol for r in g.company.collect()} == {"B", "K1", "K2", "Alpha", "Fund"}
+    assert g.stock_price.count() == 0 and g.industry_in_sector.count() == 1
+
+
+def test_audit_counts_input_rows(spark, sources):
+    asked = spark.createDataFrame([("A",), ("C",), ("Z",)], "symbol string")
+    out = load.ingest_audit(sources, asked, build.master_companies(sources.overview))
+    assert got(out) == [
+        ("A", 3, 2, 1, 1, 3, 5, True),
+        ("C", 0, 0, 0, 0, 0, 0, True),
+        ("Z", 1, 0, 1, 1, 1, 1, False),
+    ]
+
+
+def test_rows_without_a_key_are_listed(spark, sources):
+    out = load.rejected_rows(sources).groupBy("extract", "missing").count()
+    assert got(out) == [
+        ("officers", "officer_name", 1), ("overview", "symbol", 1), ("prices", "date", 1),
+        ("shareholders", "share_holder", 1), ("statements", "year", 1), ("subsidiaries", "sub_organ_code", 1),
+    ]
+
+
+def test_primary_before_secondary(spark, sources):
+    more = spark.createDataFrame([("A", "2025-01-03", 8.0, 1), ("B", "2025-01-03", 9.0, 1)], sources.prices.schema)
+    other = load.Sources(**{**sources.tables(), "prices": more}, versions=sources.versions)
+    chosen = load.choose_sources(sources, other)
+    assert sorted(r.close for r in chosen.prices.collect()) == [1.0, 2.0, 3.0, 4.0, 9.0]
+
+
+def test_wide_and_long_ratios(spark):
+    wide = spark.sql("SELECT 'A' AS symbol, 2024 AS year, 1 AS quarter, 7D AS pe, CAST(NULL AS DOUBLE) AS roe, ' 2.5 ' AS eps, 'good' AS note, timestamp_ntz '2024-01-01 00:00:00' AS updated_at, 3 AS n")
+    company = spark.createDataFrame([("A",)], "symbol string")
+    assert got(build.indicator_nodes(wide, company, wide=True)) == [
+        ("A", "eps", 2024, 1, 2.5), ("A", "n", 2024, 1, 3.0), ("A", "pe", 2024, 1, 7.0),
+    ]
+
+
+def test_pivot_shows_newest_first(spark):
+    long = spark.createDataFrame([("A", 2023, "m", 1.0), ("A", 2024, "m", 2.0), ("A", 2024, "n", 3.0)], "symbol string, year int, metric string, value double")
+    assert [tuple(r) for r in reshape.wide_metrics(long, ["symbol", "year"], ["m", "n"]).collect()] == [
+        ("A", 2024, 2.0, 3.0),
+        ("A", 2023, 1.0, None),
+    ]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 50])
+def test_peers_with_shared_industries_and_a_hot_one(spark, limit):
+    random.seed(limit)
+    caps = {f"S{i}": random.randint(0, 9) for i in range(40)}
+    links = {(s, "hot") for s in list(caps)[:25]} | {(random.choice(list(caps)), random.choice("xyz")) for _ in range(40)}
+    want = []
+    for s in caps:
+        pairs = [(-caps[p], p, i) for (a, i) in links if a == s for (p, j) in links if j == i and p != s]
+        want += [(s, p, -c, n) for n, (c, p, _) in enumerate(sorted(pairs)[:limit], start=1)]
+    company = spark.createDataFrame([(s, f"n{s}", c) for s, c in caps.items()], "symbol string, name string, market_cap bigint")
+    edges = spark.createDataFrame(sorted(links), "symbol string, industry string")
+    out = lookup.peers(company, edges, limit).select("symbol", "peer_symbol", "market_cap", "rank")
+    assert got(out) == sorted(want, key=repr)
+    one = lookup.peers_of(company, edges, "S3", limit)
+    assert [r.symbol for r in one.collect()] == [p for s, p, _, _ in want if s == "S3"]
+
+
+def test_cross_shareholding_both_orientations(spark):
+    edges = spark.createDataFrame(
+        [("A", "B", 1.0), ("B", "A", 2.0), ("A", "C", 3.0), ("D", "D", 4.0), ("C", "B", 5.0), ("B", "C", 6.0)],
+        "holder string, target string, stake_percent double",
+    )
+    assert [tuple(r) for r in lookup.cross_shareholding(edges).collect()] == [
+        ("A", "B", 1.0, 2.0), ("B", "A", 2.0, 1.0), ("B", "C", 6.0, 5.0), ("C", "B", 5.0, 6.0),
+    ]
+    assert lookup.cross_shareholding(edges, 1).count() == 1 and lookup.cross_shareholding(edges, None).count() == 4
+
+
+def test_stats_of_an_empty_graph_are_zero(spark):
+    none = spark.createDataFrame([], "symbol string")
+    assert tuple(lookup.graph_stats(none, none, none, none).first()) == (0, 0, 0, 0, 0)
+
+
+def test_latest_indicator_per_metric(spark):
+    values = spark.createDataFrame(
+        [("A", "pe", 2023, 4, 1.0), ("A", "pe", 2024, 1, 2.0), ("A", "roe", 2022, 1, 3.0)],
+        "symbol string, metric string, year int, quarter int, value double",
+    )
+    assert [r.value for r in lookup.indicators(values, "A").collect()] == [2.0, 1.0, 3.0]
+    assert [r.value for r in lookup.indicators(values, latest_only=True).collect()] == [2.0, 3.0]
+
+
+def test_price_questions(spark):
+    prices = spark.sql("SELECT 'A' AS symbol, explode(sequence(date '2025-01-01', date '2025-03-31')) AS date, 1D AS close")
+    tail = [r.date.isoformat() for r in lookup.price_tail(prices).collect()]
+    assert len(tail) == 30 and tail == sorted(tail) and tail[-1] == "2025-03-31"
+    assert lookup.price_history(prices, "A", "2025-02-01", "2025-02-28").count() == 28
+    assert lookup.price_history(prices, "B").count() == 0
+
+
+def test_loaded_symbols_skip_blanks(spark):
+    df = spark.createDataFrame([("A",), (" ",), (None,), ("",), ("A",)], "symbol string")
+    assert got(lookup.loaded_symbols(df)) == [("A",)]
+
+
+def test_window_limits_run_before_the_shuffle(spark):
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))
+    prices = spark.range(1000).select((F.col("id") % 3).cast("string").alias("symbol"), day.alias("date"))
+    plan = lookup.price_tail(prices)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

@@ -57,9 +57,12 @@ def industries(overview: DataFrame) -> DataFrame:
 
 
 def industry_links(overview: DataFrame, company: DataFrame) -> DataFrame:
-    """BELONGS_TO_INDUSTRY: distinct (symbol, industry) of known companies."""
-    rows = C.drop_blank_keys(overview, "industry").select("symbol", "industry").distinct()
-    return known(rows, company)
+    """BELONGS_TO_INDUSTRY: distinct (symbol, industry) of known companies.
+
+    Checked before it is made distinct: both need the rows by symbol, and in
+    this order one shuffle serves both.
+    """
+    return known(C.drop_blank_keys(overview, "industry").select("symbol", "industry"), company).distinct()
 
 
 def sectors(overview: DataFrame) -> DataFrame:

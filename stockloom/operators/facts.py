@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from stockloom import schemas
 from stockloom.plans.load import Graph
-from stockloom.plans.joins import salted_join
 
 GROUP_ID = "market_facts"
 SOURCE_LABEL = "market"
@@ -215,7 +214,8 @@ def facts_as_of(facts: DataFrame, moment: str) -> DataFrame:
 def fact_provenance(facts: DataFrame, episodes: DataFrame) -> DataFrame:
     """Each fact with the episode it came from.
 
-    One episode may have given a large share of the facts, so the join is salted.
+    Plain join: episodes carry whole texts, so they are not repeated to spread
+    a busy episode's facts; the adaptive skew join splits just those.
     """
     source = episodes.select(
         F.col("name").alias("episode_name"),
@@ -224,4 +224,4 @@ def fact_provenance(facts: DataFrame, episodes: DataFrame) -> DataFrame:
         "source_description",
         "body",
     )
-    return salted_join(facts, source, "episode_name", "uuid")
+    return facts.join(source, "episode_name")

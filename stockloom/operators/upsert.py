@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.plans.joins import settled
+
 
 def last_write_wins(df: DataFrame, keys: Sequence[str], version: Sequence[str] = (), keep_version: bool = False):
     """One row per key: the one with the largest version.
@@ -30,8 +32,9 @@ def merge_batch(current: DataFrame, batch: DataFrame, keys: Sequence[str], versi
     """A table with one row per key after a later batch has been written to it.
 
     Every batch row replaces the row of its key. The current table is only
-    anti-joined, so with a small batch it is read once and not shuffled.
+    anti-joined. The reduced batch is written out first: its size is then known,
+    so a small one is broadcast and the current table is not shuffled.
     """
-    latest = last_write_wins(batch, keys, version).select(*current.columns)
+    latest = settled(last_write_wins(batch, keys, version).select(*current.columns), "batch")
     untouched = current.join(latest.select(*keys), list(keys), "left_anti")
     return untouched.select(*current.columns).unionByName(latest)

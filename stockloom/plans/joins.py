@@ -15,7 +15,8 @@ def salted_join(many: DataFrame, one: DataFrame, key: str, spread_by: str, how:
 
     Rows of `many` get a salt from `spread_by`, rows of `one` are repeated once
     per salt, so a key holding a third of `many` is shared by `salts` tasks.
-    `one` grows by the factor `salts`, whatever the data.
+    `one` grows by the factor `salts`, so this is for a `one` of a few short rows
+    per key; elsewhere the adaptive skew join splits the hot partitions alone.
     """
     salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

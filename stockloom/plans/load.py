@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stockloom.operators import build
 from stockloom.operators.choose import fallback_by_key, fallback_table, resolve_symbols
+from stockloom.plans.joins import settled
 from stockloom.sources.tables import only
 
 
@@ -96,18 +97,26 @@ def restrict(sources: Sources, symbols: DataFrame | str | list[str] | None) -> S
     return Sources(**parts, versions=sources.versions)
 
 
-def build_graph(sources: Sources, symbols: DataFrame | str | list[str] | None = None) -> Graph:
-    """Node and edge tables of all symbols, or of the given ones."""
+def build_graph(
+    sources: Sources, symbols: DataFrame | str | list[str] | None = None, stored: bool = False
+) -> Graph:
+    """Node and edge tables of all symbols, or of the given ones.
+
+    `stored` writes the rows several tables are made from (the master, the
+    children, the resolved holders, the officers) to the shared folder once,
+    instead of computing them again for each of those tables.
+    """
     s = restrict(sources, symbols)
     order = lambda name: s.versions.get(name, ())
+    keep = settled if stored else lambda df, _: df
 
     @cache
     def master():
-        return build.master_companies(s.overview, order("overview"))
+        return keep(build.master_companies(s.overview, order("overview")), "master")
 
     @cache
     def children():
-        return build.subsidiary_rows(s.subsidiaries, master(), order("subsidiaries"))
+        return keep(build.subsidiary_rows(s.subsidiaries, master(), order("subsidiaries")), "children")
 
     @cache
     def named():
@@ -116,11 +125,11 @@ def build_graph(sources: Sources, symbols: DataFrame | str | list[str] | None =
     @cache
     def resolved():
         holders = build.holder_rows(s.shareholders, master(), order("shareholders"))
-        return build.resolve_holders(holders, named())
+        return keep(build.resolve_holders(holders, named()), "holders")
 
     @cache
     def led_by():
-        return build.led_by(s.officers, master(), order("officers"))
+        return keep(build.led_by(s.officers, master(), order("officers")), "officers")
 
     return Graph(
         company=lambda: build.with_stubs(named(), build.holder_stubs(resolved(), named())),

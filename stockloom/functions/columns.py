@@ -59,6 +59,11 @@ def number_of(col: Column) -> Column:
     return F.when(~text.rlike("[0-9.][dDfF]$"), col.try_cast("double"))
 
 
+def whole(col: Column) -> Column:
+    """A key number such as a year; null if it is none."""
+    return col.try_cast("int")
+
+
 def canonical_prices(df: DataFrame, symbol: str | None = None) -> DataFrame:
     """Provider price columns under the canonical names `date` and `symbol`.
 
@@ -100,7 +105,7 @@ def coerce_prices(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def statement_quarter(period: Column, quarter: Column) -> Column:
     """The quarter of a quarterly statement; 0 for a yearly one."""
-    return F.when(period == "quarter", quarter.cast("int")).otherwise(F.lit(0))
+    return F.when(period == "quarter", whole(quarter)).otherwise(F.lit(0))
 
 
 def between_days(df: DataFrame, start: str | date | None = None, end: str | date | None = None) -> DataFrame:

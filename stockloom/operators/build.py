@@ -98,7 +98,7 @@ def statement_metrics(statements: DataFrame, company: DataFrame, version: Sequen
         "symbol",
         "statement_type",
         "period",
-        F.col("year").cast("int").alias("year"),
+        C.whole(F.col("year")).alias("year"),
         C.statement_quarter(F.col("period"), C.present(statements, "quarter", "int")).alias("quarter"),
         "metric",
         F.col("value").cast("double").alias("value"),
@@ -125,8 +125,8 @@ def indicator_nodes(
     rows = rows.select(
         "symbol",
         "metric",
-        F.col("year").cast("int").alias("year"),
-        F.col("quarter").cast("int").alias("quarter"),
+        C.whole(F.col("year")).alias("year"),
+        C.whole(F.col("quarter")).alias("quarter"),
         "value",
         *version,
     ).filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())

@@ -9,6 +9,7 @@ from functools import cache, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.functions import columns as C
 from stockloom.operators import build
 from stockloom.operators.choose import fallback_by_key, fallback_table, resolve_symbols
 from stockloom.plans.joins import settled
@@ -177,21 +178,27 @@ def ingest_audit(sources: Sources, symbols: DataFrame, company: DataFrame) -> Da
 
 
 def rejected_rows(sources: Sources) -> DataFrame:
-    """Rows no table can take, for want of a key: extract, reason and the row as text."""
+    """Rows no table can take, for want of a key: extract, missing keys and the row as text.
+
+    A key that cannot be read (a day or year that is none) counts as missing.
+    """
+    blank = lambda *names: {n: C.is_blank(F.col(n).cast("string")) for n in names}
+    year = C.whole(F.col("year")).isNull()
+    quarter = C.statement_quarter(F.col("period"), C.present(sources.statements, "quarter", "int")).isNull()
     tests = {
-        "overview": (sources.overview, ["symbol"]),
-        "prices": (sources.prices, ["symbol", "date"]),
-        "statements": (sources.statements, ["symbol", "year"]),
-        "ratios": (sources.ratios, ["symbol", "year", "quarter"]),
-        "officers": (sources.officers, ["symbol", "officer_name"]),
-        "subsidiaries": (sources.subsidiaries, ["parent_symbol", "sub_organ_code"]),
-        "shareholders": (sources.shareholders, ["symbol", "share_holder"]),
+        "overview": blank("symbol"),
+        "prices": {**blank("symbol"), "date": C.day_of(F.col("date")).isNull()},
+        "statements": {**blank("symbol"), "year": year, "quarter": quarter},
+        "ratios": {**blank("symbol"), "year": year, "quarter": C.whole(F.col("quarter")).isNull()},
+        "officers": blank("symbol", "officer_name"),
+        "subsidiaries": blank("parent_symbol", "sub_organ_code"),
+        "shareholders": blank("symbol", "share_holder"),
     }
+    tables = {**sources.tables(), "prices": C.canonical_prices(sources.prices)}
     parts = []
-    for name, (df, keys) in tests.items():
-        missing = F.array_compact(
-            F.array(*[F.when(F.col(k).isNull() | (F.col(k).cast("string") == ""), F.lit(k)) for k in keys])
-        )
+    for name, lacks in tests.items():
+        missing = F.array_compact(F.array(*[F.when(test, F.lit(key)) for key, test in lacks.items()]))
+        df = tables[name]
         parts.append(
             df.filter(F.size(missing) > 0).select(
                 F.lit(name).alias("extract"),

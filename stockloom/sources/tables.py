@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stockloom import schemas
 from stockloom.functions import columns as C
+from stockloom.operators.reshape import long_metrics
 
 Symbols = str | list[str] | DataFrame | None
 
@@ -144,10 +145,20 @@ def extract_listing(df: DataFrame) -> DataFrame:
     return C.project(df, schemas.LISTING)
 
 
+def extract_overview(df: DataFrame, symbol: str | None = None) -> DataFrame:
+    """A provider's company overview; of one company's extract the symbol is the one asked for."""
+    rows = df if symbol is None else df.withColumn("symbol", F.lit(symbol))
+    return C.project(rows, T.StructType([*schemas.OVERVIEW.fields, T.StructField("sector", T.StringType())]))
+
+
+def extract_ratios(df: DataFrame, symbol: str | None = None) -> DataFrame:
+    """A provider's wide ratios as long rows."""
+    rows = C.with_symbol(df, symbol)
+    return long_metrics(rows, [k for k in ("symbol", "year", "quarter") if k in rows.columns])
+
+
 def extract_statement(df: DataFrame, statement_type: str, period: str, symbol: str | None = None) -> DataFrame:
     """A provider's wide statement (one column per metric) as long rows."""
-    from stockloom.operators.reshape import long_metrics
-
     rows = C.with_symbol(df, symbol)
     keys = [k for k in ("symbol", "year", "quarter") if k in rows.columns]
     return C.project(

@@ -135,6 +135,21 @@ def test_rows_without_a_key_are_listed(spark, sources):
     ]
 
 
+def test_keys_that_cannot_be_read_are_listed_and_left_out(spark, sources):
+    prices = spark.createDataFrame([("A", "soon", 1.0, 1), ("A", "2025-01-02T00:00:00", 2.0, 2)], sources.prices.schema)
+    statements = spark.createDataFrame(
+        [("A", "cash_flow", "quarter", "20x4", 1, "m", 1.0), ("A", "cash_flow", "quarter", "2024", None, "m", 1.0),
+         ("A", "cash_flow", "quarter", "2024", 2, "m", 5.0)],
+        "symbol string, statement_type string, period string, year string, quarter int, metric string, value double",
+    )
+    bad = load.Sources(**{**sources.tables(), "prices": prices, "statements": statements}, versions=sources.versions)
+    listed = got(load.rejected_rows(bad).select("extract", "missing"))
+    assert ("prices", "date") in listed and ("statements", "year") in listed and ("statements", "quarter") in listed
+    g = load.build_graph(bad)
+    assert [r.date.isoformat() for r in g.stock_price.collect()] == ["2025-01-02"]
+    assert [(r.year, r.quarter) for r in g.financial_statement.collect()] == [(2024, 2)]
+
+
 def test_primary_before_secondary(spark, sources):
     more = spark.createDataFrame([("A", "2025-01-03", 8.0, 1), ("B", "2025-01-03", 9.0, 1)], sources.prices.schema)
     other = load.Sources(**{**sources.tables(), "prices": more}, versions=sources.versions)

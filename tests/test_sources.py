@@ -84,6 +84,14 @@ def test_wide_provider_statement_becomes_long(spark):
     ]
 
 
+def test_provider_overview_and_ratios(spark):
+    df = spark.createDataFrame([("??", "Alpha", 5)], "symbol string, short_name string, market_cap int")
+    row = tables.extract_overview(df, "VCB").first()
+    assert (row.symbol, row.short_name, row.market_cap, row.sector) == ("VCB", "Alpha", 5, None)
+    wide = spark.createDataFrame([(2024, 1, 7.5, None)], "year int, quarter int, pe double, roe double")
+    assert [tuple(r) for r in tables.extract_ratios(wide, "VCB").collect()] == [("VCB", 2024, 1, "pe", 7.5)]
+
+
 def test_officers_still_working(spark):
     df = spark.createDataFrame([("X", "working"), ("Y", "resigned")], "officer_name string, status string")
     assert [r.officer_name for r in tables.extract_officers(df, "VCB").collect()] == ["X"]

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import exact_dedup, mixing
+from stockloom.llm import exact_dedup, mixing, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -22,7 +26,7 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op7_exact_dedup": op7_exact_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockloom.llm import exact_dedup, mixing, sharding
+from stockloom.llm import exact_dedup, line_dedup, mixing, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,13 +22,19 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    cleaned = line_dedup.remove_spread_lines(docs, F.col("source"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op7_exact_dedup": op7_exact_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op5_line_dedup": op5_line_dedup, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}

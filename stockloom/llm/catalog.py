@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import exact_dedup, line_dedup, mixing, sharding
+from stockloom.llm import exact_dedup, language, line_dedup, mixing, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     cleaned = line_dedup.remove_spread_lines(docs, F.col("source"))
@@ -33,7 +37,7 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op5_line_dedup": op5_line_dedup, "op7_exact_dedup": op7_exact_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

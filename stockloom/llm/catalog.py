@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import exact_dedup, language, line_dedup, mixing, sharding
+from stockloom.llm import exact_dedup, language, line_dedup, mixing, sharding, substring_dedup
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,13 +32,18 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op7_exact_dedup": op7_exact_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op6_substring_dedup": substring_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}

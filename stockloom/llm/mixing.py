@@ -25,7 +25,7 @@ SHARE = 1.5  # all targets together, of all sizes
 REPEATS = 2  # no source is taken more often
 BLOCK = 64  # words
 SEED = 17
-BUCKET_ROWS = 1 << 15
+BUCKET_ROWS = 1 << 12
 
 
 def _source_key(source: Column) -> Column:

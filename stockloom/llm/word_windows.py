@@ -39,14 +39,22 @@ def _slices(values: np.ndarray, base: np.uint64, begin: np.ndarray, end: np.ndar
     return (prefix[end] - prefix[begin]) * _power(_inverse(base), len(values))[begin]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, end, text) of every word `[^\\x20\\x09-\\x0D]+`; `offsets` bound the texts in `data`.
+UNSPACED = np.ones(256, bool)  # words `[^\\x20\\x09-\\x0D]+`
+UNSPACED[[32, 9, 10, 11, 12, 13]] = False
+LETTERS = np.zeros(256, bool)  # runs of ASCII letters, digits and all that is not ASCII
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def words(
+    data: np.ndarray, offsets: np.ndarray, of: np.ndarray = UNSPACED
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, text) of every word, a run of bytes marked in `of`; `offsets` bound the texts in `data`.
 
     Texts may touch: a word ends where its text does.
     """
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    inside[1:-1] = of[data]
     first = inside[1:-1] & ~inside[:-2]
     last = inside[1:-1] & ~inside[2:]
     cuts = offsets[1:-1]

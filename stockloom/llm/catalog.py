@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, sharding, substring_dedup
+from stockloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -50,7 +55,7 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup, "op9_decontamination": op9_decontamination, "op10_near_dedup": op10_near_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_near_dedup": op10_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,3 +28,11 @@ def runs(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
         yield i, j
         i = j
+
+
+def spans(values: np.ndarray) -> list[tuple[int, int]]:
+    """[begin, end) of every run of equal values."""
+    if not len(values):
+        return []
+    cuts = (np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(values)], strict=True))

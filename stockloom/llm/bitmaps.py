@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stockloom.llm.arrow_text import spans
 from stockloom.llm.word_windows import mix
 
 BLOCK = 20  # a block has 2^20 bits
@@ -36,8 +37,7 @@ def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             at = np.unique(slot(batch.column(0).to_numpy(zero_copy_only=False), bits))
-            cuts = np.flatnonzero(np.diff(at >> block_bits, prepend=-1))
-            for i, j in zip(cuts, [*cuts[1:], len(at)], strict=True):
+            for i, j in spans(at >> block_bits):
                 own = held.setdefault(int(at[i] >> block_bits), np.zeros(1 << block_bits, bool))
                 own[at[i:j] & (1 << block_bits) - 1] = True
         yield from _out({b: np.packbits(own, bitorder="little") for b, own in held.items()})

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.arrow_text import runs, text_bytes
+from stockloom.llm.arrow_text import runs, spans, text_bytes
 from stockloom.llm.edit import best_part
 from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
 
@@ -178,10 +178,8 @@ class Index:
             order = np.lexsort((start, item))
             start, item = start[order], item[order]
             # windows of an item that overlap in a document are verified together
-            new = np.ones(len(start), bool)
-            new[1:] = (item[1:] != item[:-1]) | (doc[start[1:]] != doc[start[:-1]]) | (np.diff(start) > group.size)
-            firsts = np.flatnonzero(new)
-            for i, j in zip(firsts, [*firsts[1:], len(start)], strict=True):
+            apart = (item[1:] != item[:-1]) | (doc[start[1:]] != doc[start[:-1]]) | (np.diff(start) > group.size)
+            for i, j in spans(np.cumsum(np.concatenate([[False], apart]))[: len(start)]):
                 own, d = int(item[i]), int(doc[start[i]])
                 limit, size = self.limits[own], len(self.items[own])
                 low = max(int(ends[d]), int(start[i]) - size - limit)

@@ -25,13 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.arrow_text import runs, text_bytes
+from stockloom.llm.arrow_text import runs, spans, text_bytes
 from stockloom.llm.word_windows import mix, windows, word_hashes, words
 from stockloom.plans.joins import settled
 
 WIDTH = 13
 DEPTH = 2
-CHUNK = 8 << 20  # bytes of text
+CHUNK = 4 << 20  # bytes of text
 BLOCK = 23  # a block of the sketch has 2^23 cells
 MAX_BITS = 30  # a row of the sketch has at most 2^30 cells: 128 MB when broadcast
 BUCKET = 4 << 20  # windows asked for in one task, at most about
@@ -110,7 +110,7 @@ class Chunk:
 
 
 def _cells(high: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return (mix(high, 11 + row) >> np.uint64(64 - bits)).astype(np.int64)
+    return (mix(high, 11 + row) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def sketch(chunks: DataFrame, bits: int, depth: int = DEPTH, width: int = WIDTH) -> list[np.ndarray]:
@@ -122,12 +122,11 @@ def sketch(chunks: DataFrame, bits: int, depth: int = DEPTH, width: int = WIDTH)
 
         def send():
             for row in range(depth):
-                cells = np.sort(np.concatenate(held[row])) if held[row] else np.zeros(0, np.int64)
+                cells = np.sort(np.concatenate(held[row])) if held[row] else np.zeros(0, np.uint32)
                 held[row].clear()
-                edges = np.searchsorted(cells, np.arange(0, (1 << bits) + 1, 1 << block_bits))
-                for b in np.flatnonzero(np.diff(edges)):
-                    own = cells[edges[b] : edges[b + 1]] - (b << block_bits)
-                    yield int(row << 32 | b), _pack(np.diff(own, prepend=0).astype(np.uint32))
+                for i, j in spans(cells >> np.uint32(block_bits)):
+                    own = cells[i:j] & np.uint32((1 << block_bits) - 1)
+                    yield row << 32 | int(cells[i]) >> block_bits, _pack(np.diff(own, prepend=np.uint32(0)))
 
         def batch_of(rows):
             blocks, cells = pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())
@@ -140,7 +139,7 @@ def sketch(chunks: DataFrame, bits: int, depth: int = DEPTH, width: int = WIDTH)
                 for row in range(depth):
                     held[row].append(_cells(chunk.high, row, bits))
                 size += len(chunk.high)
-                if size > 8 << 20:
+                if size > 4 << 20:
                     yield batch_of(list(send()))
                     size = 0
         yield batch_of(list(send()))
@@ -176,7 +175,7 @@ def _repeated(chunk: Chunk, maps: list[np.ndarray], bits: int) -> np.ndarray:
     left = np.arange(len(chunk.high))
     for row, bitmap in enumerate(maps):
         cells = _cells(chunk.high[left], row, bits)
-        left = left[(bitmap[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1]
+        left = left[(bitmap[cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8)) & 1 == 1]
     return left
 
 
@@ -213,9 +212,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, chunk: int = CHUNK, max_
                 order, new, least = _least(high, low, own.doc(which))
                 high, low = high[order][new], low[order][new]
                 bucket = (high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)  # in order, as high is
-                cuts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(2**63)))
                 rows = {"bucket": [], "chunk": [], "windows": []}
-                for i, j in zip(cuts, [*cuts[1:], len(high)], strict=True):
+                for i, j in spans(bucket):
                     rows["bucket"].append(int(bucket[i]))
                     rows["chunk"].append(name)
                     rows["windows"].append(_packed(high[i:j], low[i:j], least[i:j]))

@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples, in exact TF-IDF cosine over block-max inverted indexes.
 
 The examples are a bounded sample of the labelled documents (`EXAMPLES`, half of each
-label while there are enough). Their vocabulary is the `TERMS` terms whose presence
-depends on the label most clearly (chi-squared); its weights are (1 + log tf) x idf,
-vectors of length one. Examples that share their strongest terms stand together in
+label while there are enough). Terms are words and their beginnings of 4 and 6 bytes.
+The vocabulary is the `TERMS` terms that speak for the label most clearly
+(chi-squared); its weights are (1 + log tf) x idf, vectors of length one. Examples that share their strongest terms stand together in
 blocks, and each term knows its largest weight in each block: a block whose bound lies
 below the k-th similarity found so far is not read. The k nearest vote by
 similarity, and isotonic regression over the examples' own votes, each left out of its
@@ -21,15 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.arrow_text import runs, text_bytes
+from stockloom.llm.arrow_text import runs, spans, text_bytes
 from stockloom.llm.language import held_out
-from stockloom.llm.word_windows import LETTERS, word_hashes, words
+from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
 from stockloom.plans.joins import settled
 
 EXAMPLES = 16384
 TERMS = 4096
 LEAST_CHI = 10.83  # one in a thousand by chance
 LEAST_DOCS = 3
+STEMS = (4, 6)  # bytes
 NEIGHBOURS = 15
 BLOCK = 64
 FIRST = 4  # blocks read before any is skipped
@@ -40,12 +41,20 @@ CHUNK = 4 << 20
 
 
 def terms_of(batch_column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, rows, terms, row of each term) by chunks; terms are lower-case runs of letters and digits."""
+    """(first row, rows, terms, row of each term) by chunks.
+
+    Terms are runs of letters and digits, in lower case already, and their beginnings.
+    """
     _, offsets = text_bytes(batch_column)
     for i, j in runs(offsets, CHUNK):
         data, cuts = text_bytes(batch_column.slice(i, j - i))
         begin, end, row = words(data, cuts, LETTERS)
-        yield i, j - i, word_hashes(data, begin, end), row
+        terms, rows = [word_hashes(data, begin, end)], [row]
+        for n in STEMS:
+            long = end - begin > n
+            terms.append(mix(word_hashes(data, begin[long], begin[long] + n), n))
+            rows.append(row[long])
+        yield i, j - i, np.concatenate(terms), np.concatenate(rows)
 
 
 def _counted(terms: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +97,7 @@ def sampled(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame,
 
 
 def vocabulary(examples: DataFrame, sizes: dict[int, int], terms: int, least_docs: int) -> dict[int, int]:
-    """Term -> number of examples that have it, for those that depend on the label most, by chi-squared."""
+    """Term -> number of examples that have it, for those commoner among toxic ones that depend on the label most."""
     n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
     n, a = n0 + n1, F.col("toxic")
     table = examples.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("toxic"))
@@ -96,6 +105,7 @@ def vocabulary(examples: DataFrame, sizes: dict[int, int], terms: int, least_doc
     chi = off * off * n / (F.lit(max(n0 * n1, 1.0)) * F.col("df") * F.greatest(F.lit(n) - F.col("df"), F.lit(1.0)))
     best = (
         table.filter(F.col("df") >= least_docs)
+        .filter(a * n0 > (F.col("df") - a) * n1)
         .withColumn("chi", chi)
         .filter(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "term")
@@ -246,8 +256,7 @@ def score(docs: DataFrame, index: Index | None) -> DataFrame:
                 at = np.minimum(np.searchsorted(index.terms, terms), len(index.terms) - 1)
                 sure = index.terms[at] == terms
                 row, term, tf = _counted(at[sure], row[sure])
-                cuts = np.flatnonzero(np.diff(row, prepend=-1))
-                for a, b in zip(cuts, [*cuts[1:], len(row)], strict=True):
+                for a, b in spans(row):
                     near, cosine = index.nearest(term[a:b], tf[a:b])
                     d = i + int(row[a])
                     votes[d] = index.votes(near, cosine)

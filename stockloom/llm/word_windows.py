@@ -65,8 +65,27 @@ def words(
     return begin, end, np.searchsorted(offsets, begin, side="right") - 1
 
 
+def _blocks(begin: np.ndarray, limit: int):
+    """[i, j) of items whose starts lie within `limit` of each other: keeps prefix sums short and in cache."""
+    i = 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(begin, begin[i] + limit)))
+        yield i, j
+        i = j
+
+
+def _sliced(values: np.ndarray, base: np.uint64, begin: np.ndarray, end: np.ndarray, limit: int = 1 << 17) -> np.ndarray:
+    """`_slices` of ordered slices, a block at a time."""
+    out = np.empty(len(begin), np.uint64)
+    for i, j in _blocks(begin, limit):
+        low = begin[i]
+        part = values[low : end[j - 1]].astype(np.uint64) + np.uint64(1)
+        out[i:j] = _slices(part, base, begin[i:j] - low, end[i:j] - low)
+    return out
+
+
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix(_slices(data.astype(np.uint64) + np.uint64(1), _BASE, begin, end) + (end - begin).astype(np.uint64))
+    return mix(_sliced(data, _BASE, begin, end) + (end - begin).astype(np.uint64))
 
 
 def windows(hashes: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,4 +94,4 @@ def windows(hashes: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarra
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     at = np.flatnonzero(text[:n] == text[width - 1 :])
-    return at, *(mix(_slices(mix(hashes, i + 1), _STEP[i], at, at + width), i + 3) for i in (0, 1))
+    return at, *(mix(_sliced(mix(hashes, i + 1), _STEP[i], at, at + width), i + 3) for i in (0, 1))

@@ -26,9 +26,10 @@ from stockloom.llm.language import held_out
 from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
 from stockloom.plans.joins import settled
 
-EXAMPLES = 16384
-TERMS = 4096
-LEAST_CHI = 10.83  # one in a thousand by chance
+EXAMPLES = 8192
+TERMS = 1024
+LEAST_CHI = 10.83  # one in a thousand by chance: few examples
+ENOUGH_CHI = 40.0  # asked of a term as soon as 60 examples for each unit make it possible
 LEAST_DOCS = 3
 STEMS = (4, 6)  # bytes
 NEIGHBOURS = 15
@@ -107,7 +108,7 @@ def vocabulary(examples: DataFrame, sizes: dict[int, int], terms: int, least_doc
         table.filter(F.col("df") >= least_docs)
         .filter(a * n0 > (F.col("df") - a) * n1)
         .withColumn("chi", chi)
-        .filter(F.col("chi") >= LEAST_CHI)
+        .filter(F.col("chi") >= min(ENOUGH_CHI, max(LEAST_CHI, n / 60)))
         .orderBy(F.desc("chi"), "term")
         .limit(terms)
     )

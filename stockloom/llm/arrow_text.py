@@ -30,6 +30,26 @@ def runs(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+STRING = 4  # bytes
+PAD = "\n" * (STRING - 1)  # stands before a text, so that each of its bytes ends a string
+
+
+def byte_strings(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, end, strings, starts of texts among the strings) of padded texts, some at a time.
+
+    Every byte of a text has the string of four bytes that ends with it, as a number.
+    """
+    data, offsets = text_bytes(column)
+    for i, j in runs(offsets, limit):
+        wide = data[offsets[i] : offsets[j]].astype(np.uint32)
+        starts = offsets[i:j] - offsets[i]
+        grams = (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:]
+        keep = np.ones(len(grams), bool)
+        for back in range(1, STRING):  # strings that end in the pad of the next text
+            keep[starts[1:] - back] = False
+        yield i, j, grams[keep], starts - len(PAD) * np.arange(j - i)
+
+
 def spans(values: np.ndarray) -> list[tuple[int, int]]:
     """[begin, end) of every run of equal values."""
     if not len(values):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, sharding, substring_dedup, toxicity
+from stockloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     cleaned = line_dedup.remove_spread_lines(docs, F.col("source"))
@@ -55,7 +59,7 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_near_dedup": op10_near_dedup}
+    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_quality": op4_quality, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_near_dedup": op10_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,36 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.arrow_text import runs, text_bytes
+from stockloom.llm.arrow_text import PAD, STRING, byte_strings
 
-ORDER = 3
-PAD = "\n" * ORDER  # stands before each text
-CHUNK = 1 << 19  # bytes handled at once
+ORDER = STRING - 1
 DENSE = 1 << 25  # cells of a direct index; a larger one gives way to bisection
 MAX_GRAMS = 1 << 22  # strings in the model at most (the commonest): 16 bytes each for four languages
 UNKNOWN = "und"
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """The 4-byte string that ends at each byte from the fourth on."""
-    wide = data.astype(np.uint32)
-    return (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:]
-
-
-def _padded(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, end, strings, starts of texts among the strings), pads taken out."""
-    data, offsets = text_bytes(column)
-    for i, j in runs(offsets, CHUNK):
-        part = data[offsets[i] : offsets[j]]
-        starts = offsets[i:j] - offsets[i]
-        grams = _grams(part)
-        keep = np.ones(len(grams), bool)
-        for back in range(1, ORDER + 1):  # strings that end in the pads of the next text
-            keep[starts[1:] - back] = False
-        grams = grams[keep]
-        yield i, j, grams, starts - ORDER * np.arange(j - i)
-
-
 def count_strings(texts: DataFrame) -> DataFrame:
     """(`lang`, `gram`, `n`) over all rows of (`text`, `lang`), texts padded."""
 
@@ -62,7 +40,7 @@ def count_strings(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for i, j, grams, starts in _padded(batch.column("text")):
+            for i, j, grams, starts in byte_strings(batch.column("text")):
                 ends = [*starts[1:], len(grams)]
                 own = np.array(langs[i:j], dtype=object)
                 for lang in set(langs[i:j]):
@@ -205,7 +183,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 continue
             length = np.zeros((batch.num_rows, len(model.langs)))
             empty = np.zeros(batch.num_rows, bool)
-            for i, j, grams, starts in _padded(batch.column("text")):
+            for i, j, grams, starts in byte_strings(batch.column("text")):
                 filled = np.diff([*starts, len(grams)]) > 0
                 empty[i:j] = ~filled
                 if filled.any():

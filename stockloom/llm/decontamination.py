@@ -18,7 +18,6 @@ not grow with their number; each block passes over all documents.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from stockloom.llm.edit import best_part
 from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
 
 SIMILARITY = 0.8
-RECALL = 0.98
+RECALL = 0.99
 SAMPLED = 3  # steps per lookup
 WALKS = 3  # independent embeddings, taken in turn
 MOST_LOOKUPS = 96
@@ -70,11 +69,10 @@ class SizeClass:
         sizes = [len(items[i]) for i in which]
         self.size = min(sizes)
         self.slack = int((1 - similarity) * max(sizes) + 1e-9)  # edits allowed
-        self.steps = max(1, math.ceil(STEPS * self.size))
+        self.steps = max(1, round(STEPS * self.size))
         values = np.concatenate([items[i] for i in which])
         end = np.cumsum(sizes)
-        chance = self._chance(values, end, sizes, similarity)
-        self.lookups = min(MOST_LOOKUPS, max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-9, 1 - chance)))))
+        self.lookups = self._enough(values, end, sizes, similarity, recall)
         lucky = np.random.default_rng(self.size)
         self.samples = [
             np.sort(lucky.choice(self.steps, min(SAMPLED, self.steps), replace=False)) for _ in range(self.lookups)
@@ -93,10 +91,10 @@ class SizeClass:
             out = mix(out ^ path[step], 7)
         return out
 
-    def _chance(self, values, end, sizes, similarity) -> float:
-        """How often one lookup finds an item at the limit: over copies with as many random edits as it allows."""
+    def _enough(self, values, end, sizes, similarity, recall) -> int:
+        """Lookups that find the share `recall` of random copies with as many edits as the limit allows."""
         lucky = np.random.default_rng(len(values))
-        texts, starts = [], []
+        texts = []
         picks = lucky.integers(0, len(sizes), COPIES)
         for pick in picks:
             text = list(values[end[pick] - sizes[pick] : end[pick]])
@@ -109,12 +107,18 @@ class SizeClass:
         stop = np.cumsum(length)
         copies = np.concatenate(texts)
         if not len(copies):
-            return 1.0
-        equal = []
+            return 1
+        missed = np.ones(COPIES)
+        per_walk = []
         for w in range(WALKS):
             ours = walk(values, (end - sizes)[picks], end[picks], self.steps, w)
-            equal.append((ours == walk(copies, stop - length, stop, self.steps, w)).mean(axis=0))
-        return float((np.concatenate(equal) ** min(SAMPLED, self.steps)).mean())
+            equal = (ours == walk(copies, stop - length, stop, self.steps, w)).mean(axis=0)
+            per_walk.append(1 - equal ** min(SAMPLED, self.steps))
+        for n in range(MOST_LOOKUPS):
+            missed *= per_walk[n % WALKS]
+            if missed.mean() <= 1 - recall:
+                return n + 1
+        return MOST_LOOKUPS
 
     def near(self, known: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Starts of windows of the class's size, in one document, with words of the items enough."""

@@ -6,8 +6,8 @@ highest quotients win. Only the seats whose rank is in doubt, at most three
 per source, are ranked (`quotas`); no row is made per block.
 
 A source's documents stand in a seeded order, cut in blocks of equal size. A
-quota of q out of n blocks takes every block q div n times and, once more, a run
-of q mod n blocks from a seeded start. Positions within a source come from
+quota takes the whole source as often as its words go into the quota's, and for the
+rest a run of blocks from a seeded block on, back to the first after the last. Positions within a source come from
 prefix sums over buckets of the seeded order, so a source with a third of all
 rows is spread over its buckets.
 """
@@ -155,25 +155,17 @@ def mix(
     sizes = parts.groupBy("key").agg(F.sum("part").alias("source_size"))
     sources = targets(sizes, weights, share, repeats)
     house = F.round(F.sum("target").over(Window.partitionBy()) / block)
-    sources = (
-        quotas(sources, house)
-        .withColumn("blocks", F.ceil(F.col("source_size") / block))
-        .withColumn("quota", F.least("quota", F.col("blocks") * repeats))
-    )
+    sources = quotas(sources, house)
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"start{seed}"), "key")), 1, 8), 16, 10).cast("long")
 
-    def edge(k: Column) -> Column:
-        """First word of block k; sizes stay far below 2^53 / blocks only as decimals."""
-        product = k.cast("decimal(20,0)") * F.col("source_size").cast("decimal(18,0)")
-        return F.when(F.col("blocks") > 0, F.floor(product / F.col("blocks"))).otherwise(F.lit(0)).cast("long")
-
+    size = F.greatest("source_size", F.lit(1))
     sources = (
-        sources.withColumn("every", F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(F.lit(0)))
-        .withColumn("once", F.col("quota") - F.col("every") * F.col("blocks"))
-        .withColumn("first", F.when(F.col("blocks") > 0, F.pmod(start, F.greatest("blocks", F.lit(1)))).otherwise(F.lit(0)))
-        .withColumn("run_from", edge(F.col("first")))
-        .withColumn("run_to", edge(F.least(F.col("first") + F.col("once"), F.col("blocks"))))
-        .withColumn("wrap_to", edge(F.greatest(F.col("first") + F.col("once") - F.col("blocks"), F.lit(0))))
+        sources.withColumn("words", F.least(F.col("quota") * block, F.col("source_size") * repeats))
+        .withColumn("every", F.floor(F.col("words") / size))
+        .withColumn("once", F.col("words") - F.col("every") * F.col("source_size"))
+        .withColumn("run_from", F.pmod(start, F.greatest(F.ceil(F.col("source_size") / block), F.lit(1))) * block)
+        .withColumn("run_to", F.least(F.col("run_from") + F.col("once"), "source_size"))
+        .withColumn("wrap_to", F.greatest(F.col("run_from") + F.col("once") - F.col("source_size"), F.lit(0)))
     )
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = parts.withColumn("offset", F.coalesce(F.sum("part").over(before), F.lit(0))).join(
@@ -229,19 +221,18 @@ WITH words AS (
          (SELECT round(sum(target) / 64) FROM aimed) AS house
   FROM (SELECT key, target, unnest(range(0, 3 * blocks + 2)) AS k FROM aimed WHERE target > 0)
 ), quotas AS (
-  SELECT a.*, least(coalesce(won, 0), 2 * blocks) AS quota
+  SELECT a.*, least(coalesce(won, 0) * 64, 2 * source_size) AS words
   FROM aimed a LEFT JOIN (SELECT key, count(*) AS won FROM seats WHERE rank <= house GROUP BY key) USING (key)
 ), runs AS (
-  SELECT *, CASE WHEN blocks > 0 THEN quota // blocks ELSE 0 END AS every,
-         CASE WHEN blocks > 0 THEN ('0x' || substr(md5('start17:' || key), 1, 8))::BIGINT % blocks ELSE 0 END AS first
+  SELECT *, words // greatest(source_size, 1) AS every,
+         ('0x' || substr(md5('start17:' || key), 1, 8))::BIGINT % greatest(blocks, 1) * 64 AS run_from
   FROM quotas
 ), cuts AS (
-  SELECT *, first * source_size // greatest(blocks, 1) AS run_from,
-         least(first + quota - every * blocks, blocks) * source_size // greatest(blocks, 1) AS run_to,
-         greatest(first + quota - every * blocks - blocks, 0) * source_size // greatest(blocks, 1) AS wrap_to
+  SELECT *, least(run_from + words - every * source_size, source_size) AS run_to,
+         greatest(run_from + words - every * source_size - source_size, 0) AS wrap_to
   FROM runs
 ), placed AS (
-  SELECT w.*, c.* EXCLUDE (key),
+  SELECT w.*, c.* EXCLUDE (key, words),
          sum(size) OVER (PARTITION BY w.key ORDER BY seeded, doc_id NULLS FIRST, md5(coalesce(text, ''))
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begin
   FROM words w JOIN cuts c ON c.key = w.key

@@ -35,6 +35,7 @@ LEAST_TRUSTED = 20  # documents; a language with fewer is held to all languages'
 LEAST_DISCOUNT = 0.1
 CHUNK = 8 << 20
 BUCKETS = 64
+SPREAD = 65521  # a prime: strings that differ in their first bytes alone fall into different buckets
 MOVED = "the documents came in another order when they were read again"
 
 
@@ -151,7 +152,7 @@ def code_lengths(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) ->
             for name, part in _chunks(batch):
                 found = [np.unique(grams) for _, _, grams, _ in byte_strings(part.column("text"))]
                 grams = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
-                bucket = ((grams * np.uint32(0x9E3779B1)) >> np.uint32(16)) % np.uint32(BUCKETS)
+                bucket = grams % np.uint32(SPREAD) % np.uint32(BUCKETS)
                 order = np.argsort(bucket, kind="stable")
                 own = [(int(bucket[order[i]]), grams[order[i:j]].tobytes()) for i, j in spans(bucket[order])]
                 yield pa.record_batch(
@@ -211,8 +212,7 @@ def code_lengths(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) ->
     asked = settled(rows.mapInArrow(ask, "bucket int, chunk long, grams binary"), "asked")
     grams = asked.groupBy("bucket").applyInArrow(distinct, "gram long")
     known = resolve(grams, tables)
-    number = ((F.col("gram") * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(65536)).cast("long")
-    known = known.withColumn("bucket", (number % BUCKETS).cast("int"))
+    known = known.withColumn("bucket", (F.col("gram") % SPREAD % BUCKETS).cast("int"))
     told = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "chunk long, grams binary, bits binary")
     carried = rows.mapInArrow(carry, "chunk long, blob binary")
     return carried.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(

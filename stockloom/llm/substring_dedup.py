@@ -31,7 +31,7 @@ from stockloom.plans.joins import settled
 
 WIDTH = 13
 DEPTH = 2
-CHUNK = 4 << 20  # bytes of text
+CHUNK = 2 << 20  # bytes of text
 BLOCK = 23  # a block of the sketch has 2^23 cells
 MAX_BITS = 30  # a row of the sketch has at most 2^30 cells: 128 MB when broadcast
 BUCKET = 4 << 20  # windows asked for in one task, at most about
@@ -94,6 +94,7 @@ class Chunk:
     """A chunk's documents, their words and windows."""
 
     def __init__(self, blob: bytes, width: int):
+        pa.default_memory_pool().release_unused()  # of the chunk before
         self.docs = pa.ipc.open_stream(zstandard.decompress(blob)).read_all().combine_chunks()
         column = self.docs.column("text").combine_chunks() if self.docs.num_rows else pa.array([], pa.string())
         self.data, self.offsets = text_bytes(column)
@@ -139,7 +140,7 @@ def sketch(chunks: DataFrame, bits: int, depth: int = DEPTH, width: int = WIDTH)
                 for row in range(depth):
                     held[row].append(_cells(chunk.high, row, bits))
                 size += len(chunk.high)
-                if size > 4 << 20:
+                if size > 2 << 20:
                     yield batch_of(list(send()))
                     size = 0
         yield batch_of(list(send()))

@@ -12,9 +12,12 @@ _powers: dict[int, np.ndarray] = {}
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x + np.uint64((salt * 0x632BE59BD9B4E019 + 0x1D8E4E27C47D124F) & (2**64 - 1))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _power(base: np.uint64, n: int) -> np.ndarray:

@@ -1,0 +1,140 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from frames import awkward, awkward_rows, documents, empty, labels, prose
+
+from stockloom.llm import decontamination, toxicity
+from stockloom.llm.edit import best_part
+
+
+def _items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def _edited(own, edits, lucky):
+    own = list(own)
+    for _ in range(edits):
+        place, kind = lucky.randrange(len(own)), lucky.randrange(3)
+        own[place : place + (kind != 1)] = [f"edit{lucky.randrange(10**6)}"] if kind < 2 else []
+    return own
+
+
+@pytest.mark.parametrize("block", [1 << 20, 40])
+def test_edited_items_are_found(spark, block):
+    """Items at up to a fifth of edits are found, almost all at the limit; texts without one have no hit."""
+    lucky = random.Random(4)
+    items = [(i, prose(15 + i, 200 + i, 3000)) for i in range(30)]
+    rows, planted, limit = [], set(), set()
+    for n in range(300):
+        text = prose(150, 10_000 + n, 3000).split()
+        if n % 2:
+            item, own = items[n % 30][0], items[n % 30][1].split()
+            most = int(0.2 * len(own) + 1e-9)
+            edits = n // 2 % (most + 1)
+            text[70:70] = _edited(own, edits, lucky)
+            planted.add((n, item))
+            if edits == most:
+                limit.add((n, item))
+        rows.append((n, " ".join(text), "en", "a"))
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find_items(documents(spark, rows), _items(spark, items), block=block).collect()}
+    truth = set()
+    for n, text, *_ in rows:
+        for i, item in items:
+            if best_part(item.split(), text.split())[0] <= int(0.2 * len(item.split()) + 1e-9):
+                truth.add((n, i))
+    assert set(got) <= truth and planted <= truth
+    assert len(set(got) & planted) >= 0.97 * len(planted) and len(set(got) & limit) >= 0.9 * len(limit)
+
+
+def test_items_in_awkward_rows(spark):
+    texts = [t for _, t, *_ in awkward_rows()]
+    items = _items(spark, [(1, texts[2].upper()), (2, None), (3, ""), (4, "!!!"), (5, "one two"), (6, " ".join(texts[11].split()[20_000:20_040])), (None, texts[0])])
+    got = decontamination.find_items(awkward(spark), items).collect()
+    assert Counter((r.doc_id, r.item_id, r.distance) for r in got) == Counter(
+        {(2, 1, 0): 1, (3, 1, 0): 1, (4, 1, 0): 1, (10, 5, 0): 1, (9, 6, 0): 1, (1, None, 0): 2}
+    )
+    assert decontamination.find_items(empty(spark), items).count() == 0
+    assert decontamination.find_items(awkward(spark), _items(spark, [])).count() == 0
+
+
+def test_walks_fall_into_step_again():
+    """The embedding of a text with one word inserted agrees with the text's own in most steps."""
+    lucky = np.random.default_rng(1)
+    agree = []
+    for _ in range(50):
+        text = lucky.integers(1, 2**62, 60).astype(np.uint64)
+        other = np.insert(text, 5, np.uint64(7))
+        end = np.array([60]), np.array([61])
+        zero = np.array([0])
+        agree.append((decontamination.walk(text, zero, end[0], 90, 1) == decontamination.walk(other, zero, end[1], 90, 1)).mean())
+    assert np.mean(agree) > 0.5
+
+
+def _index(lucky, n=300, terms=40):
+    rows = sorted((e, t, int(lucky.integers(1, 4))) for e in range(n) for t in lucky.choice(terms, lucky.integers(0, 5), replace=False))
+    example, term, tf = (np.array(x) for x in zip(*rows, strict=True))
+    term = term * 7 + 3
+    docs_with = {int(t): int((term == t).sum()) for t in set(term.tolist())}
+    toxic = lucky.integers(0, 2, n)
+    return toxicity.Index(np.arange(n) * 2, toxic, (example, term, tf), docs_with, {0: 3.0, 1: 1.0}), rows, docs_with
+
+
+def test_nearest_is_exact_and_skips_blocks():
+    lucky = np.random.default_rng(2)
+    index, rows, docs_with = _index(lucky)
+    terms = np.array(sorted(docs_with))
+    idf = np.log((1 + 300) / (1 + np.array([docs_with[t] for t in terms]))) + 1
+    dense = np.zeros((300, len(terms)))
+    for e, t, tf in rows:
+        at = np.searchsorted(terms, t * 7 + 3)
+        dense[e, at] = (1 + np.log(tf)) * idf[at]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    for _ in range(200):
+        term = np.sort(lucky.choice(len(terms), lucky.integers(1, 6), replace=False))
+        tf = lucky.integers(1, 4, len(term))
+        q = np.zeros(len(terms))
+        q[term] = (1 + np.log(tf)) * idf[term]
+        cosine = np.round(dense @ (q / np.linalg.norm(q)), 9)
+        best = [e for e in np.lexsort((np.arange(300), -cosine)) if cosine[e] > 0][: toxicity.NEIGHBOURS]
+        found, near = index.nearest(term, tf)
+        assert np.allclose(near, cosine[best], atol=2e-9)
+        assert (index.ids[found] // 2).tolist() == best or np.allclose(np.diff(near), 0, atol=1e-8) or len(best) == len(found)
+
+
+def test_scores_are_calibrated_and_monotone():
+    index, _, _ = _index(np.random.default_rng(3))
+    values, rates = index.calibrate().curve
+    assert (np.diff(values) > 0).all() and (np.diff(rates) >= 0).all() and rates.min() >= 0 and rates.max() <= 1
+
+
+def _toxic_rows():
+    rows, known = [], []
+    for i in range(400):
+        toxic = i % 6 == 0
+        rows.append((i, prose(40, i, 400) + (f" slurone slurtwo{i % 3}" if toxic else ""), "en", "a"))
+        known.append((i, 1, int(toxic)))
+    return rows, known
+
+
+def test_toxic_documents_are_found(spark):
+    rows, known = _toxic_rows()
+    got = toxicity.toxicity(documents(spark, rows), labels(spark, known)).collect()
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert r.predicted == int(r.score >= 0.3) == int(r.doc_id % 6 == 0)
+    shown = next(r for r in got if r.predicted)
+    assert shown.evidence and all(e % 6 == 0 for e in shown.evidence)
+
+
+def test_toxicity_of_awkward_rows(spark):
+    rows, known = _toxic_rows()
+    docs = documents(spark, [*awkward_rows(), *((i + 1000, *r) for i, *r in rows)])
+    odd = [*((i + 1000, q, t) for i, q, t in known), (None, 1, 1), (2, 1, None), (1000, 1, 1), (5, 0, 1), (77_777, 1, 1)]
+    got = toxicity.toxicity(docs, labels(spark, odd)).collect()
+    assert Counter(r.doc_id for r in got if (r.doc_id or 0) < 1000) == Counter(i for i, *_ in awkward_rows())
+    assert all(0 <= r.score <= 1 for r in got)
+    assert toxicity.toxicity(empty(spark), labels(spark, known)).count() == 0
+    assert {r.score for r in toxicity.toxicity(awkward(spark), labels(spark, [])).collect()} == {0.0}

@@ -38,3 +38,23 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", F.col("new").alias("label"))
         if new.filter("new <> label").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(`node`, `label`) after further links: only the labels that these join are worked on."""
+    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    if labels is None:
+        return components(links)
+    ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b")]
+    joined = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    joined = joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b")
+    joined = settled(joined.distinct(), "label-links")
+    if joined.isEmpty():
+        return labels
+    least = components(joined).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    every = labels.unionByName(
+        nodes.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    )
+    return settled(
+        every.join(least, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels"
+    )

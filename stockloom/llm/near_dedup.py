@@ -7,10 +7,10 @@ meet in a bucket. Unlike a set's MinHash, the tuple also sees order and repeats.
 
 In a bucket, members are compared with a pivot, not with each other. Links join
 documents to components, and a bucket is done when the members that were not yet
-pivot all belong to one component; until then further members become pivots, twice
-as many each round. So a bucket of n copies costs n comparisons, and no pair that a
-bucket proposes is given up unless its two sides are already linked. Pairs whose
-lengths, or whose sampled places, are further apart than the band cannot align.
+pivot all belong to one component; until then further members become pivots, `GROWTH`
+times as many each round. So a bucket of n copies costs n comparisons, and no pair that a
+bucket proposes is given up unless its two sides are already linked, or their lengths
+and the sampled places are further apart than the band.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.llm import bitmaps
 from stockloom.llm.arrow_text import runs, text_bytes
-from stockloom.llm.components import components
+from stockloom.llm.components import merged
 from stockloom.llm.edit import within
 from stockloom.llm.word_windows import mix, windows, word_hashes, words
 from stockloom.plans.joins import settled
@@ -35,6 +35,7 @@ SAMPLE = 4
 TABLES = 40
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
 CHUNK = 4 << 20
+GROWTH = 16  # of the number of pivots per round
 
 
 def _seeds(tables: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,8 +179,8 @@ def text_classes(
     docs: DataFrame, similarity: float = SIMILARITY, k: int = K, sample: int = SAMPLE, tables: int = TABLES
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Sketches of all documents; links (`a`, `b`) between nodes; (`node`, `label`) of linked nodes."""
-    rows = settled(sketches(docs, k, sample, tables), "order-minhash")
-    entries = rows.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")).select(
+    rows_of = settled(sketches(docs, k, sample, tables), "order-minhash")
+    entries = rows_of.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")).select(
         F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place")
     )
     shared = entries.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
@@ -187,52 +188,47 @@ def text_classes(
         entries.join(shared.select("h", F.col("low").alias("pivot")), "h").distinct(), "buckets"
     )
     if members.isEmpty():
-        return rows, None, None
+        return rows_of, None, None
     words = settled(_words_of(docs, members.select("node").distinct()), "bucket-words")
-    members = members.withColumn("label", F.col("node"))
-    pivots = members.filter("node = pivot").select("h", *_pivot())
-    members = members.drop("pivot")
-    served = pivots.select("h", F.col("p_node").alias("node"))
-    links, compared, labels, many = None, None, None, 1
-    gap = 1 - similarity
+    first = F.col("node") == F.col("pivot")
+    state = members.select("h", "node", "n", "place", F.col("node").alias("label"), first.alias("now"), first.alias("served"))
+    links, compared, labels, many = None, None, None, GROWTH
     while True:
-        longer = F.greatest("n", "p_n")
-        near = (
-            (F.col("label") != F.col("p_label"))
-            & (F.abs(F.col("n") - F.col("p_n")) <= gap * longer + 1e-9)
-            & (F.abs(F.col("place") - F.col("p_place")) <= gap * longer + 1e-9)
-        )
-        joined = members.join(pivots.withColumnRenamed("h", "p_h"), (F.col("h") == F.col("p_h")) & near)
-        pairs = joined.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = settled(pairs, "pairs")
+        pairs = _pairs(state, 1 - similarity)
+        pairs = settled(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = pairs if compared is None else compared.unionByName(pairs)
         found = settled(linked(pairs, words, similarity), "links")
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        state = (
-            members.drop("label")
-            .join(labels, "node", "left")
-            .join(served.withColumn("was", F.lit(True)), ["h", "node"], "left")
-            .select("h", "node", "n", "place", F.coalesce("label", "node").alias("label"), F.col("was").isNotNull().alias("served"))
-        )
-        # members not yet pivot, outside the component that most of them belong to
-        waiting = state.filter(~F.col("served")).groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"))
-        main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"))
-        spread = state.groupBy("h").agg(F.min("label").alias("l"), F.max("label").alias("u")).filter("l < u")
-        todo = main.join(spread.select("h"), "h", "left_semi")
-        state = settled(state.join(todo, "h"), "bucket-state")
-        open_members = state.filter(~F.col("served") & (F.col("label") != F.col("main")))
-        many = min(many * 2, 64)
+        if not found.isEmpty():
+            labels = merged(labels, found)
+            state = state.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # members that were not yet pivot, outside the component that most of those belong to
+        waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"))
+        main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
+        state = state.join(main.filter("all > most").select("h", "main"), "h")
+        waits = ~F.col("served") & (F.col("label") != F.col("main"))
         turn = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        pivots = settled(
-            open_members.withColumn("turn", turn).filter(F.col("turn") <= many).select("h", *_pivot()), "pivots"
-        )
-        if pivots.isEmpty():
-            return rows, links, labels
-        members = state.drop("main", "served").join(pivots.select("h").distinct(), "h", "left_semi")
-        served = state.filter("served").select("h", "node").unionByName(pivots.select("h", F.col("p_node").alias("node")))
+        rows = ["h", "node", "n", "place", "label", "now", "served"]
+        ahead = state.filter(waits).withColumn("now", turn <= many).withColumn("served", F.col("now"))
+        rest = state.filter(~waits).withColumn("now", F.lit(False))
+        state = settled(ahead.select(rows).unionByName(rest.select(rows)), "bucket-state")
+        if state.isEmpty():
+            return rows_of, links, labels
+        many *= GROWTH
+
+
+def _pairs(state: DataFrame, gap: float) -> DataFrame:
+    """Distinct (`a`, `b`) of each bucket's present pivots with its members in other components.
+
+    At least as many words must be edited before the sampled k-mer, and after it, as
+    the two texts differ there; pairs for which that is more than the band are left out.
+    """
+    pivots = state.filter("now").select(*[F.col(c).alias(f"p_{c}") for c in ("h", "node", "n", "place", "label")])
+    ahead = F.abs(F.col("place") - F.col("p_place"))
+    behind = F.abs((F.col("n") - F.col("place")) - (F.col("p_n") - F.col("p_place")))
+    near = (F.col("label") != F.col("p_label")) & (ahead + behind <= gap * F.greatest("n", "p_n") + 1e-9)
+    joined = state.join(pivots, (F.col("h") == F.col("p_h")) & near)
+    return joined.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **params) -> DataFrame:
@@ -259,6 +255,3 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **params) -
         "doc_id", "node", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
     )
 
-
-def _pivot() -> list[Column]:
-    return [F.col(name).alias(f"p_{name}") for name in ("node", "n", "place", "label")]

@@ -262,7 +262,7 @@ class Extracts:
 
     @cached_property
     def graph(self) -> Graph:
-        return build_graph(self.sources)
+        return build_graph(self.sources, stored=True)
 
 
 def price_columns(price: Column, symbol: str = "symbol", day: str = "date", day_type: str = "date") -> list[Column]:

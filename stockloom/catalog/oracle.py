@@ -304,6 +304,15 @@ def _bm25(prefix: str, corpus: str, queries: str) -> None:
     )
 
 
+def _ranks(scores: str) -> str:
+    """The whole list, not cut."""
+    return f"SELECT query_id, item, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, item) AS rank FROM {{{scores}}}"
+
+
+def _shared_ranks(scores: str, kind: str) -> str:
+    return f"SELECT query_id, item, {kind}() OVER (PARTITION BY query_id ORDER BY score DESC) AS rank FROM {{{scores}}}"
+
+
 def _top(scores: str, k: int, item: str = "item") -> str:
     return (
         f"SELECT query_id, {item}, score, CAST(rank AS INT) AS rank FROM (SELECT *, ROW_NUMBER() OVER "
@@ -331,8 +340,8 @@ VIEWS["vector_scores"] = (
     f"SELECT query_id, vec_id AS item, {_cosine('e.embedding', 'q.embedding')} AS score "
     "FROM embeddings e, {questions} q"
 )
-VIEWS["hybrid_text_ranks"] = _top("hybrid_scores", 80)
-VIEWS["hybrid_vector_ranks"] = _top("vector_scores", 80)
+VIEWS["hybrid_text_ranks"] = _ranks("hybrid_scores")
+VIEWS["hybrid_vector_ranks"] = _ranks("vector_scores")
 VIEWS["hybrid_fused"] = _fused("hybrid_text_ranks", "hybrid_vector_ranks")
 
 VIEWS["nation_texts"] = (
@@ -350,7 +359,7 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sector ORDER BY market_cap DESC,
 """
 VIEWS["fact_texts"] = "SELECT uuid AS item, fact AS text FROM {relation_facts}"
 _bm25("fact", "fact_texts", "fact_questions")
-VIEWS["fact_text_ranks"] = _top("fact_scores", 150)
+VIEWS["fact_text_ranks"] = _ranks("fact_scores")
 VIEWS["fact_reached"] = """
 SELECT query_id, seed AS node, 0 AS distance FROM {fact_questions}
 UNION ALL SELECT query_id, dst, 1 FROM {fact_questions} JOIN {both_ways} ON src = seed
@@ -359,12 +368,15 @@ VIEWS["fact_near"] = """
 SELECT query_id, uuid AS item, -CAST(min(distance) AS DOUBLE) AS score
 FROM {fact_reached} JOIN {relation_facts} ON node = subject OR node = object GROUP BY query_id, uuid
 """
-VIEWS["fact_near_ranks"] = _top("fact_near", 150)
-VIEWS["fact_similar"] = (
-    f"SELECT query_id, uuid AS item, {_cosine('v.embedding', 'q.embedding')} AS score "
-    "FROM {relation_facts} JOIN {company_vectors} v ON subject = node, {fact_questions} q"
+VIEWS["fact_near_ranks"] = _shared_ranks("fact_near", "DENSE_RANK")
+VIEWS["fact_subjects"] = (
+    f"SELECT query_id, node AS item, {_cosine('v.embedding', 'q.embedding')} AS score "
+    "FROM {company_vectors} v, {fact_questions} q WHERE node IN (SELECT subject FROM {relation_facts})"
+)
+VIEWS["fact_subject_ranks"] = _shared_ranks("fact_subjects", "RANK")
+VIEWS["fact_similar_ranks"] = (
+    "SELECT query_id, uuid AS item, rank FROM {relation_facts} JOIN {fact_subject_ranks} s ON subject = s.item"
 )
-VIEWS["fact_similar_ranks"] = _top("fact_similar", 150)
 VIEWS["fact_fused"] = _fused("fact_text_ranks", "fact_near_ranks", "fact_similar_ranks")
 VIEWS["fact_hits"] = _top("fact_fused", 10)
 
@@ -559,6 +571,13 @@ SELECT symbol, date, open, high, low, close, volume FROM (
     open DESC, high DESC, low DESC, close DESC, volume DESC) AS place FROM {{prices}} WHERE date = {AS_OF})
 WHERE place = 1 AND symbol IN (SELECT symbol FROM {{master}})
 """
+SQL["graph_merge"] = f"""
+SELECT symbol, date, open, high, low, CASE WHEN symbol IN {_HOSE} THEN high ELSE close END AS close, volume
+FROM {{stock_prices}}
+"""
+SQL["rejected_measures"] = """
+SELECT 'prices' AS extract, 'volume' AS missing, seq1, seq2 FROM {raw_prices} WHERE close IS NULL
+"""
 SQL["stream_upsert"] = "SELECT * FROM {stock_prices}"
 
 # --- episodes, facts, search ---------------------------------------------------------
@@ -567,6 +586,9 @@ SQL["episodes_text"] = f"""
 SELECT name, body, 'text' AS source, {LOAD_TIME} AS reference_time, source_description, 'market_facts' AS group_id
 FROM {{docs}}
 """
+SQL["episodes_stored"] = f"""
+SELECT e.*, load_id FROM ({SQL["episodes_text"]}) e, (VALUES ('first'), ('second')) t(load_id)
+"""
 SQL["episodes_json"] = f"""
 SELECT symbol AS name, {LOAD_TIME} AS reference_time, 'market' AS source_description, 'market_facts' AS group_id,
        name AS title, exchange, market_cap FROM {{company}}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from stockloom.operators import build, choose, facts, lookup, reshape, search, t
 from stockloom.operators.upsert import last_write_wins
 from stockloom.plans import load
 from stockloom.plans.joins import settled
-from stockloom.sources import tables
+from stockloom.session import work_dir
+from stockloom.sources import store, tables
 from stockloom.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -404,10 +406,40 @@ def resolve_symbols(x):
 @query
 def subset_load(x):
     """A load of the companies of one exchange."""
-    g = load.build_graph(x.sources, x.hose_symbols)
+    g = load.build_graph(x.sources, x.hose_symbols, stored=True)
     return lookup.graph_stats(g.company, g.stock_price, g.financial_statement, g.financial_indicator)
 
 
+@query
+def graph_merge(x):
+    """A full load, then one exchange's companies loaded again with prices closing at their high: the stored prices."""
+    root = work_dir(x.spark, "graph")
+    store.full_load(x.sources, root)
+    later = replace(x.sources, prices=x.sources.prices.withColumn("close", F.col("high")))
+    store.full_load(later, root, x.hose_symbols)
+    return store.read_graph(x.spark, root).stock_price
+
+
+@query
+def episodes_stored(x):
+    """Text episodes of two loads, the second written twice, read back by group."""
+    path = work_dir(x.spark, "episodes")
+    rows = facts.text_episodes(x.documents, LOAD_TIME, F.col("source_description"))
+    for load in ("first", "second", "second"):
+        store.append_episodes(rows, path, load)
+    return store.read_episodes(x.spark, path, facts.GROUP_ID)
+
+
+@query
+def rejected_measures(x):
+    """Prices whose volume is a word where there is no close: the load goes on, the rows are listed."""
+    volume = F.when(F.col("close").isNull(), "n/a").otherwise(F.col("volume").cast("string"))
+    bad = replace(x.sources, prices=x.sources.prices.withColumn("volume", volume))
+    listed = load.rejected_rows(bad).filter("extract = 'prices'")
+    number = lambda c, kind: F.get_json_object("row", f"$.{c}").cast(kind).alias(c)
+    return listed.select("extract", "missing", number("seq1", "bigint"), number("seq2", "int"))
+
+
 @query
 def daily_upsert(x):
     """One day's provider prices, closing at their high, over the price table."""

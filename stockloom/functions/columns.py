@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 # Provider names of the day and symbol columns, lower case (fixed values).
 DAY_NAMES = ("time", "tradingdate", "trading_date")
 SYMBOL_NAMES = ("ticker",)
+CANONICAL = {**dict.fromkeys(DAY_NAMES, "date"), **dict.fromkeys(SYMBOL_NAMES, "symbol")}
 
 # Days of history read when no start is given (fixed value).
 LOOKBACK_DAYS = 730
@@ -30,8 +31,14 @@ def text_or(df: DataFrame, name: str, default: str | Column = "") -> Column:
 
 
 def number_or_zero(df: DataFrame, name: str, dtype: str = "double") -> Column:
-    """A number with null replaced by 0; NaN is a value and stays."""
-    return F.coalesce(present(df, name, dtype).cast(dtype), F.lit(0).cast(dtype))
+    """A number with null, or what is none, replaced by 0; NaN is a value and stays."""
+    return F.coalesce(present(df, name, dtype).try_cast(dtype), F.lit(0).cast(dtype))
+
+
+def unreadable(df: DataFrame, name: str, dtype: str = "double") -> Column:
+    """Whether a value is there but is no number of the type."""
+    value = present(df, name, dtype)
+    return value.isNotNull() & value.try_cast(dtype).isNull()
 
 
 def is_blank(col: Column) -> Column:
@@ -65,22 +72,15 @@ def whole(col: Column) -> Column:
 
 
 def canonical_prices(df: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Provider price columns under the canonical names `date` and `symbol`.
+    """Provider price columns under the canonical names `date` and `symbol`, whatever their case.
 
     A frame with no symbol column is one symbol's extract and gets `symbol`.
     """
-    names = {}
-    for column in df.columns:
-        if column.lower() in DAY_NAMES:
-            names[column] = "date"
-        elif column.lower() in SYMBOL_NAMES:
-            names[column] = "symbol"
-    kept = [c for c in df.columns if c not in names]
-    targets = kept + list(names.values())
-    if len(set(targets)) != len(targets):
+    named = [(c, CANONICAL.get(c.lower(), c)) for c in df.columns]
+    targets = [target for _, target in named]
+    if len(set(targets)) < len(targets):
         raise ValueError(f"more than one day or symbol column in {df.columns}")
-    df = df.withColumnsRenamed(names)
-    return df if "symbol" in df.columns else with_symbol(df, symbol)
+    return with_symbol(df.select(*[F.col(c).alias(target) for c, target in named]), symbol)
 
 
 def with_symbol(df: DataFrame, symbol: str | None) -> DataFrame:

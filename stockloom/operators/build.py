@@ -101,7 +101,7 @@ def statement_metrics(statements: DataFrame, company: DataFrame, version: Sequen
         C.whole(F.col("year")).alias("year"),
         C.statement_quarter(F.col("period"), C.present(statements, "quarter", "int")).alias("quarter"),
         "metric",
-        F.col("value").cast("double").alias("value"),
+        F.col("value").try_cast("double").alias("value"),
         *version,
     ).filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
     return known(last_write_wins(rows, [*STATEMENT_KEY, "metric"], version), company)
@@ -120,7 +120,7 @@ def indicator_nodes(
         rows = long_metrics(ratios, ["symbol", "year", "quarter", *version])
     else:
         rows = ratios.select(
-            "symbol", "year", "quarter", "metric", F.col("value").cast("double").alias("value"), *version
+            "symbol", "year", "quarter", "metric", F.col("value").try_cast("double").alias("value"), *version
         ).filter(F.col("value").isNotNull())
     rows = rows.select(
         "symbol",

@@ -105,7 +105,8 @@ def build_graph(
 
     `stored` writes the rows several tables are made from (the master, the
     children, the resolved holders, the officers) to the shared folder once,
-    instead of computing them again for each of those tables.
+    instead of computing them again for each of those tables. The facts are then also
+    joined to a plain table, which lets the adaptive skew join split a busy symbol.
     """
     s = restrict(sources, symbols)
     order = lambda name: s.versions.get(name, ())
@@ -121,7 +122,7 @@ def build_graph(
 
     @cache
     def named():
-        return build.with_stubs(master(), build.child_stubs(children(), master()))
+        return keep(build.with_stubs(master(), build.child_stubs(children(), master())), "named")
 
     @cache
     def resolved():
@@ -177,10 +178,20 @@ def ingest_audit(sources: Sources, symbols: DataFrame, company: DataFrame) -> Da
     return per_symbol.filter(F.col("_asked") > 0).drop("_asked")
 
 
+MEASURES = {
+    "prices": {**dict.fromkeys(C.PRICE_MEASURES, "double"), "volume": "bigint"},
+    "statements": {"value": "double"},
+    "officers": {"officer_own_percent": "double"},
+    "subsidiaries": {"ownership_percent": "double"},
+    "shareholders": {"share_own_percent": "double"},
+}
+
+
 def rejected_rows(sources: Sources) -> DataFrame:
-    """Rows no table can take, for want of a key: extract, missing keys and the row as text.
+    """Rows no table can take whole: extract, the keys missing and measures unreadable, and the row as text.
 
-    A key that cannot be read (a day or year that is none) counts as missing.
+    A key that cannot be read (a day or year that is none) counts as missing. A
+    measure that is no number is listed too; the load takes the row with 0 for it.
     """
     blank = lambda *names: {n: C.is_blank(F.col(n).cast("string")) for n in names}
     year = C.whole(F.col("year")).isNull()
@@ -195,6 +206,9 @@ def rejected_rows(sources: Sources) -> DataFrame:
         "shareholders": blank("symbol", "share_holder"),
     }
     tables = {**sources.tables(), "prices": C.canonical_prices(sources.prices)}
+    for name, measures in MEASURES.items():
+        df = tables[name]
+        tests[name] |= {m: C.unreadable(df, m, kind) for m, kind in measures.items() if m in df.columns}
     parts = []
     for name, lacks in tests.items():
         missing = F.array_compact(F.array(*[F.when(test, F.lit(key)) for key, test in lacks.items()]))

@@ -6,20 +6,15 @@ from pyspark.sql import functions as F
 
 from stockloom.functions import columns as C
 
-DAY_FRAME = "time string, open double, high double, low double, close double, volume bigint"
-
-
 def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_provider_day_column_is_renamed(spark):
-    df = spark.createDataFrame(
-        [("2025-01-01", 100.0, 102.0, 99.0, 101.0, 1000), ("2025-01-02", 101.0, 103.0, 100.0, 102.0, 2000)], DAY_FRAME
-    )
-    out = C.canonical_prices(df, "VCB")
-    assert "time" not in out.columns and {"date", "symbol"} <= set(out.columns)
-    assert {r.symbol for r in out.collect()} == {"VCB"}
+def test_provider_names_become_canonical_and_values_stay(spark):
+    df = spark.sql("SELECT 7 AS seq, '1999-12-31' AS TIME, 3.5D AS low")
+    out = C.canonical_prices(df, "MNO")
+    assert out.columns == ["seq", "date", "low", "symbol"]
+    assert tuple(out.first()) == (7, "1999-12-31", 3.5, "MNO")
 
 
 @pytest.mark.parametrize("day,ticker", [("tradingDate", "Ticker"), ("Trading_Date", "ticker"), ("date", "symbol")])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockloom.operators import build, lookup, reshape
 from stockloom.operators.upsert import last_write_wins, merge_batch
 from stockloom.plans import load
-from stockloom.sources.store import full_load, read_graph, write_graph
+from stockloom.sources.store import current_version, full_load, read_graph, write_graph
 
 
 def got(df):
@@ -111,6 +111,44 @@ def test_stored_graph_reads_back_and_a_second_load_changes_nothing(spark, source
     assert all(first[n] for n in first)
 
 
+def test_a_later_load_keeps_all_other_rows(spark, sources, tmp_path):
+    root = str(tmp_path)
+    full_load(sources, root)
+    first = {n: got(df) for n, df in read_graph(spark, root).tables().items()}
+    dearer = load.Sources(
+        **{**sources.tables(), "prices": sources.prices.withColumn("close", F.lit(99.0))}, versions=sources.versions
+    )
+    full_load(dearer, root, ["A"])
+    second = read_graph(spark, root)
+    after = {n: got(df) for n, df in second.tables().items()}
+    assert all({r[0] for r in first[n]} <= {r[0] for r in after[n]} for n in first)
+    assert {r.close for r in second.stock_price.filter("symbol = 'A'").collect()} == {99.0}
+    others = [r for r in first["stock_price"] if r[0] != "A"]
+    assert [r for r in after["stock_price"] if r[0] != "A"] == others
+    # a company the second load only refers to keeps its master row
+    assert {r for r in first["company"] if r[2] is not None} <= set(after["company"])
+
+
+def test_a_load_that_breaks_off_leaves_the_version_before(spark, sources, tmp_path):
+    root = str(tmp_path)
+    full_load(sources, root)
+    before = got(read_graph(spark, root).company)
+    broken = read_graph(spark, root)
+    broken.led_by = broken.led_by.withColumn("position", F.raise_error(F.lit("stop")))
+    with pytest.raises(Exception, match="stop"):
+        write_graph(broken, root)
+    assert got(read_graph(spark, root).company) == before and current_version(spark, root) == 1
+
+
+def test_measures_that_are_no_numbers_are_listed_and_the_load_goes_on(spark, sources):
+    bad = load.Sources(
+        **{**sources.tables(), "prices": sources.prices.withColumn("volume", F.lit("n/a"))}, versions=sources.versions
+    )
+    assert {r.volume for r in load.build_graph(bad).stock_price.collect()} == {0}
+    listed = load.rejected_rows(bad).filter("extract = 'prices'")
+    assert listed.filter("missing LIKE '%volume%'").count() == sources.prices.count()
+
+
 def test_subset_load_drops_symbols_the_master_lacks(spark, sources):
     g = load.build_graph(sources, ["B", "Z"])
     assert {r.symbol for r in g.company.collect()} == {"B", "K1", "K2", "Alpha", "Fund"}

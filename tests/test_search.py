@@ -76,11 +76,11 @@ def test_no_query_vectors_no_rows(spark):
     assert search.vector_topk(corpus, asked).count() == 0
 
 
-def test_fusion_depth_reaches_the_true_top():
+def test_no_candidate_of_the_true_top_is_missed():
     """An item below the depth in every list cannot beat the k-th of any list."""
     for lists in (1, 2, 3):
         for k in (1, 10, 50):
-            depth = search.fusion_depth(lists, k)
+            depth = search.candidate_depth(lists, k)
             assert depth >= k
             assert lists / (search.RRF_K + depth + 1) < 1 / (search.RRF_K + k)
 
@@ -117,9 +117,69 @@ def test_expansion_takes_the_fewest_steps(spark, hops):
     assert got == want
 
 
-def test_expansion_has_a_limit(spark):
-    with pytest.raises(ValueError):
-        traverse.khop(spark.createDataFrame([], "src string, dst string"), spark.createDataFrame([], "seed string"), 4)
+def _ranked(scores):
+    """(query, item) -> rank, score descending, then item."""
+    out = {}
+    for q in {q for q, _, _ in scores}:
+        order = sorted((-s, i) for p, i, s in scores if p == q)
+        out.update({(q, i): r for r, (_, i) in enumerate(order, start=1)})
+    return out
+
+
+def test_fused_ranks_are_those_of_the_whole_lists(spark):
+    """Items far down one list keep their share from it: against full-list fusion, not cut ones."""
+    random.seed(9)
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(12)]
+    texts = [(i, " ".join(random.choices(words, k=random.randint(3, 40)))) for i in range(400)]
+    vectors = [(i, [float(round(x, 1)) for x in rng.normal(size=3)]) for i in range(400)]
+    vectors[50:120] = [(i, vectors[0][1]) for i in range(50, 120)]  # ties
+    asked = [(q, " ".join(words[q : q + 3]), [float(x) for x in rng.normal(size=3)]) for q in range(6)]
+    corpus = spark.createDataFrame(texts, "item_id bigint, text string").repartition(3)
+    directions = spark.createDataFrame(vectors, "item_id bigint, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame(asked, "query_id bigint, text string, embedding array<float>")
+    got = search.hybrid_topk(corpus, directions, queries, 3).collect()
+    by_text = _ranked([tuple(r) for r in search.bm25_scores(corpus, queries, "item_id", "text").collect()])
+    cosine = []
+    for q, _, v in asked:
+        for i, w in vectors:
+            a, b = np.float32(w).astype(float), np.float32(v).astype(float)
+            if a.any():
+                cosine.append((q, i, round(float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)), 6)))
+    by_vector = _ranked(cosine)
+    want = []
+    for q, _, _ in asked:
+        fused = Counter()
+        for ranks in (by_text, by_vector):
+            for (p, i), r in ranks.items():
+                if p == q:
+                    fused[i] += 1 / (60 + r)
+        best = sorted((-round(s, 6), i) for i, s in fused.items())[:3]
+        want += [(q, i, r) for r, (_, i) in enumerate(best, start=1)]
+    assert sorted((r.query_id, r.item_id, r.rank) for r in got) == sorted(want)
+
+
+def test_vectors_without_a_direction_push_nothing_out(spark):
+    rows = [(i, [1.0, i / 10]) for i in range(4)] + [(8, [math.nan, 1.0]), (9, [math.inf, 1.0]), (10, [3e38, 3e38])]
+    corpus = spark.createDataFrame(rows, "item_id bigint, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id bigint, embedding array<double>")
+    got = search.vector_topk(corpus, asked, 2).orderBy("rank").collect()
+    assert [r.item_id for r in got] == [0, 1]
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id bigint, embedding array<float>")
+    corpus = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0, 3.0])], "item_id bigint, embedding array<float>")
+    with pytest.raises(Exception, match="2 numbers"):
+        search.vector_topk(corpus, asked, 2).collect()
+    with pytest.raises(ValueError, match="1 and 2"):
+        search.vector_topk(corpus, corpus.selectExpr("item_id AS query_id", "slice(embedding, 1, 2) AS embedding"), 2)
+
+
+def test_expansion_far_out(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(8)], "subject string, object string")
+    reached = traverse.khop(traverse.both_ways(chain), spark.createDataFrame([("n0",)], "seed string"), 50)
+    assert {r.node: r.distance for r in reached.collect()} == {f"n{i}": i for i in range(9)}
 
 
 def test_fact_search_with_and_without_the_other_rankings(spark):

@@ -230,7 +230,10 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Padded texts of the trusted documents; a filter of their ids thins the texts before the exact join."""
+    """Padded texts of the trusted documents; a filter of their ids thins the texts before the exact join.
+
+    The ids grow with the labels, so they are merged at every size and never broadcast.
+    """
     bits = bitmaps.bits_for(trusted.count())
     wanted = docs.sparkSession.sparkContext.broadcast(bitmaps.bitmap(trusted, bits))
 
@@ -242,7 +245,7 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     rows = docs.filter("doc_id IS NOT NULL AND text <> ''").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.concat(F.lit(PAD), "text").alias("text")
     )
-    return rows.mapInArrow(thin, "doc_id long, text string").join(trusted, "doc_id", "left_semi").select("text")
+    return rows.mapInArrow(thin, "doc_id long, text string").join(trusted.hint("merge"), "doc_id", "left_semi").select("text")
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink: int = SHRINK) -> DataFrame:

@@ -50,8 +50,10 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     winners = (
         rows.select(ROW, "doc_id").join(classes, ROW).groupBy("class_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW)
     )
-    # repeated rows meet map-side first, so one of a third of all rows is one row per task
-    return rows.dropDuplicates([ROW]).join(settled(winners, "near-winners"), ROW, "left_semi").select(docs.columns)
+    repeated = rows.groupBy(ROW).count().filter("count > 1")
+    if not repeated.isEmpty():  # they meet map-side first, so one of a third of all rows is one row per task
+        rows = rows.dropDuplicates([ROW])
+    return rows.join(settled(winners, "near-winners"), ROW, "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -37,7 +37,7 @@ MOST_LOOKUPS = 96
 RATIO = 1.2  # of the sizes in a class
 STEPS = 1.6  # of the walk per word: its sampled part seldom leaves the item
 BLOCK_WORDS = 1 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 FILTER_BITS = 20
 COPIES = 400  # edited copies measured per class
 SCHEMA = "doc_id long, item_id long, distance int, item_words int, first_word int, end_word int, evidence string"

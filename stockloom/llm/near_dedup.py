@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ K = 5
 SAMPLE = 4
 TABLES = 40
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
-CHUNK = 4 << 20
+CHUNK = 1 << 20  # bytes of text handled at once
 GROWTH = 16  # of the number of pivots per round
 
 
@@ -62,7 +63,7 @@ def sketch(kmers: np.ndarray, sample: int, tables: int) -> tuple[np.ndarray, np.
     labelled = _labelled(kmers)
     take = min(sample, len(kmers))
     xor, times = _seeds(tables)
-    step = max(1, (1 << 21) // len(kmers))
+    step = max(1, (1 << 19) // len(kmers))
     at = np.concatenate(
         [
             np.argpartition((labelled ^ xor[i : i + step]) * times[i : i + step], take - 1, axis=1)[:, :take]
@@ -80,14 +81,13 @@ def _key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, hashes of words, first word of each text, text of each word) by chunks."""
-    column = batch.column("words")
+def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, end, hashes of lower-case words, first word of each text, text of each word), some texts at a time."""
     _, offsets = text_bytes(column)
     for i, j in runs(offsets, CHUNK):
-        data, cuts = text_bytes(column.slice(i, j - i))
+        data, cuts = text_bytes(pc.utf8_lower(column.slice(i, j - i)))
         begin, end, text = words(data, cuts)
-        yield i, word_hashes(data, begin, end), np.searchsorted(text, np.arange(j - i + 1)), text
+        yield i, j, word_hashes(data, begin, end), np.searchsorted(text, np.arange(j - i + 1)), text
 
 
 def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
@@ -98,9 +98,9 @@ def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [_key(t or "") for t in batch.column("text").to_pylist()]
-            n, keys, places = [], [], []
-            for _, values, first, text in _texts(batch):
+            nodes, n, keys, places = [], [], [], []
+            for i, j, values, first, text in _texts(batch.column("text")):
+                nodes += [_key(t) for t in batch.column("text").slice(i, j - i).to_pylist()]
                 at, kmers, _ = windows(values, text, k)
                 cut = np.searchsorted(at, first)
                 for d in range(len(first) - 1):
@@ -123,7 +123,7 @@ def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
                 }
             )
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("words", F.lower("text"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n int, keys array<long>, places array<int>"
     return rows.mapInArrow(run, schema)
 
@@ -135,18 +135,18 @@ def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([_key(t or "") for t in batch.column("text").to_pylist()], np.int64)
+            column = batch.column("text")
+            keys = np.array([_key(t.as_py()) for t in column], np.int64)
             rows = np.flatnonzero(bitmaps.has(wanted.value, keys, bits)) if len(keys) else []
             if not len(rows):
                 continue
-            part = batch.take(pa.array(rows))
             out = []
-            for _, values, first, _ in _texts(part):
+            for _, _, values, first, _ in _texts(column.take(pa.array(rows))):
                 short = (values >> np.uint64(32)).astype(np.uint32)
                 out += [short[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.record_batch({"node": pa.array(keys[rows]), "words": pa.array(out, pa.binary())})
 
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("words", F.lower("text"))
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     found = rows.mapInArrow(run, "node long, words binary")
     return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
 

@@ -33,7 +33,7 @@ MARGIN = 1.0  # of the distance from median to quantile, beyond the quantile
 SHRINK = 200  # bytes
 LEAST_TRUSTED = 20  # documents; a language with fewer is held to all languages' threshold
 LEAST_DISCOUNT = 0.1
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 BUCKETS = 64
 SPREAD = 65521  # a prime: strings that differ in their first bytes alone fall into different buckets
 MOVED = "the documents came in another order when they were read again"

@@ -38,7 +38,7 @@ FIRST = 4  # blocks read before any is skipped
 PRIOR = 0.25  # similarity's worth of votes at the labels' share
 THRESHOLD = 0.3
 FILTER_BITS = 18
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def terms_of(batch_column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -469,6 +469,13 @@ SELECT symbol, metric, value, year, quarter FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, metric ORDER BY year DESC, quarter DESC) AS place
   FROM {indicators}) WHERE place = 1
 """
+for _name in ("subsidiaries", "shareholders", "price_history", "indicators"):
+    _rows = SQL[_name].split("ORDER BY")[0]
+    SQL[f"{_name}_one"] = f"SELECT * FROM ({_rows}) WHERE symbol = (SELECT min(symbol) FROM ({_rows}))"
+SQL["extract_officers"] = "SELECT symbol, officer_name FROM {officers} WHERE officer_own_percent > 0"
+SQL["extract_shareholders"] = "SELECT symbol, share_holder FROM {shareholders}"
+SQL["extract_subsidiaries"] = "SELECT parent_symbol, sub_organ_code FROM {subsidiaries}"
+SQL["extract_listing"] = "SELECT symbol FROM {listing}"
 SQL["cross_shareholding"] = """
 SELECT a.holder AS symbol_a, a.target AS symbol_b, a.stake_percent AS a_holds_b_pct, b.stake_percent AS b_holds_a_pct
 FROM {stakes} a JOIN {stakes} b ON a.holder = b.target AND a.target = b.holder

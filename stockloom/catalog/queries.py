@@ -232,6 +232,53 @@ def indicators_latest(x):
     return lookup.indicators(x.graph.financial_indicator, latest_only=True)
 
 
+def _least(df, key):
+    """The first symbol of a table, as a table."""
+    return df.agg(F.min(key).alias("symbol"))
+
+
+@query
+def subsidiaries_one(x):
+    return lookup.subsidiaries(x.graph.company, x.graph.subsidiary_of, _least(x.graph.subsidiary_of, "parent"))
+
+
+@query
+def shareholders_one(x):
+    return lookup.shareholders(x.graph.company, x.graph.holds_stake_in, _least(x.graph.holds_stake_in, "target"))
+
+
+@query
+def price_history_one(x):
+    return lookup.price_history(x.graph.stock_price, _least(x.graph.stock_price, "symbol"))
+
+
+@query
+def indicators_one(x):
+    return lookup.indicators(x.graph.financial_indicator, _least(x.graph.financial_indicator, "symbol"))
+
+
+@query
+def extract_officers(x):
+    """A provider's officers, of whom those with a share still work there."""
+    status = F.when(F.col("officer_own_percent") > 0, "Working").otherwise("resigned")
+    return tables.extract_officers(x.officers.withColumn("status", status)).select("symbol", "officer_name")
+
+
+@query
+def extract_shareholders(x):
+    return tables.extract_shareholders(x.shareholders).select("symbol", "share_holder")
+
+
+@query
+def extract_subsidiaries(x):
+    return tables.extract_subsidiaries(x.subsidiaries).select("parent_symbol", "sub_organ_code")
+
+
+@query
+def extract_listing(x):
+    return tables.extract_listing(x.listing).select("symbol")
+
+
 @query
 def cross_shareholding(x):
     return lookup.cross_shareholding(x.graph.holds_stake_in)

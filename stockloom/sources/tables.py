@@ -43,13 +43,17 @@ def read_jdbc(
     splits: int = 64,
     fetch_rows: int = 10_000,
     properties: dict[str, str] | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
     """A database table, read in `splits` ranges of a numeric or date column.
 
-    Filters and column choice made on the result reach the database.
+    Filters and column choice made on the result reach the database. A table
+    small enough for one connection and one task is read so only on request (`one_task`).
     """
     if not url:
         return empty(spark, schema)
+    if not (split_on and bounds) and not one_task:
+        raise ValueError(f"name a column and bounds to split {table} on, or ask for one_task")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     reader = reader.option("fetchsize", str(fetch_rows)).options(**(properties or {}))
     if split_on and bounds:

@@ -40,6 +40,12 @@ def test_formats(spark, tmp_path, fmt):
     assert tuple(df.first())[0] == "A" and df.first().close == 4.0 and df.first().volume == 5
 
 
+def test_database_tables_are_split_or_said_to_be_small(spark):
+    with pytest.raises(ValueError, match="one_task"):
+        tables.read_jdbc(spark, "jdbc:none", "prices", schemas.PRICE_HISTORY)
+    assert tables.read_jdbc(spark, None, "prices", schemas.PRICE_HISTORY).count() == 0
+
+
 def test_symbol_choice(spark):
     df = spark.createDataFrame([("A",), ("B",), ("B",), ("C",)], "symbol string")
     asked = spark.createDataFrame([("B",), ("B",), ("C",)], "symbol string")

@@ -9,7 +9,7 @@ Items are dealt into size classes. In every document, windows of the class's siz
 walk along with the items and are looked up by their sampled steps, often enough that
 an item at the edit limit is found with probability `recall`: how often is measured on
 random copies of the items, edited up to the limit. Windows that hold too few words of
-any item cannot be within the limit and do not walk. Each hit is verified by the
+any item cannot be within the limit and do not walk; nor can those with too few of their pairs of neighbours. Each hit is verified by the
 edit distance of the item to its best place around the window.
 
 Items are read in blocks of `BLOCK_WORDS` words at most, so what a task holds of them does
@@ -32,7 +32,7 @@ from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
 SIMILARITY = 0.8
 RECALL = 0.99
 SAMPLED = 3  # steps per lookup
-WALKS = 3  # independent embeddings, taken in turn
+WALKS = 12  # independent embeddings, taken in turn
 MOST_LOOKUPS = 96
 RATIO = 1.2  # of the sizes in a class
 STEPS = 1.6  # of the walk per word: its sampled part seldom leaves the item
@@ -49,15 +49,25 @@ def _hashed(column: pa.Array, i: int | None = None, j: int | None = None):
     return data, begin, end, text, word_hashes(data, begin, end)
 
 
-def walk(values: np.ndarray, at: np.ndarray, end: np.ndarray, steps: int, seed: int) -> np.ndarray:
+def _pair(values: np.ndarray) -> np.ndarray:
+    """A hash of each word with its next."""
+    return mix(values[:-1] + (values[1:] << np.uint64(1)), 9)
+
+
+def moves(values: np.ndarray, steps: int, seed: int) -> list[np.ndarray]:
+    """Random bits of every word, 64 steps to an array: whether a walk that stands on it moves on."""
+    return [mix(values, 1000 * seed + block) for block in range(-(-steps // 64))]
+
+
+def walk(values: np.ndarray, at: np.ndarray, end: np.ndarray, steps: int, bits: list[np.ndarray]) -> np.ndarray:
     """(step, window): the word copied at each step by walks from `at`; 0 beyond `end`."""
     out = np.zeros((steps, len(at)), np.uint64)
     at = at.copy()
     for j in range(steps):
+        place = np.minimum(at, len(values) - 1)
         inside = at < end
-        word = np.where(inside, values[np.minimum(at, len(values) - 1)], np.uint64(0))
-        out[j] = word
-        at += ((mix(word, 1000 * seed + j) >> np.uint64(40)) & np.uint64(1)).astype(at.dtype)
+        out[j] = np.where(inside, values[place], np.uint64(0))
+        at += ((bits[j // 64][place] >> np.uint64(j % 64)) & inside).astype(at.dtype)
     return out
 
 
@@ -77,7 +87,7 @@ class SizeClass:
         self.samples = [
             np.sort(lucky.choice(self.steps, min(SAMPLED, self.steps), replace=False)) for _ in range(self.lookups)
         ]
-        walks = [walk(values, end - sizes, end, self.steps, w) for w in range(WALKS)]
+        walks = [walk(values, end - sizes, end, self.steps, moves(values, self.steps, w)) for w in range(WALKS)]
         self.tables = []
         for n, steps in enumerate(self.samples):
             keys = self.key(walks[n % WALKS], n, steps)
@@ -111,8 +121,9 @@ class SizeClass:
         missed = np.ones(COPIES)
         per_walk = []
         for w in range(WALKS):
-            ours = walk(values, (end - sizes)[picks], end[picks], self.steps, w)
-            equal = (ours == walk(copies, stop - length, stop, self.steps, w)).mean(axis=0)
+            ours = walk(values, (end - sizes)[picks], end[picks], self.steps, moves(values, self.steps, w))
+            theirs = walk(copies, stop - length, stop, self.steps, moves(copies, self.steps, w))
+            equal = (ours == theirs).mean(axis=0)
             per_walk.append(1 - equal ** min(SAMPLED, self.steps))
         for n in range(MOST_LOOKUPS):
             missed *= per_walk[n % WALKS]
@@ -120,18 +131,22 @@ class SizeClass:
                 return n + 1
         return MOST_LOOKUPS
 
-    def near(self, known: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Starts of windows of the class's size, in one document, with words of the items enough."""
-        n = len(known) - self.size + 1
+    def near(self, known: np.ndarray, pairs: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Starts of windows of the class's size, in one document, with words and pairs of the items enough.
+
+        An edit leaves at most one word of the window, and two pairs of neighbours, without
+        their like in the item. `known` and `pairs` count those found in some item, up to each word.
+        """
+        n = len(known) - self.size
         if n <= 0:
             return np.zeros(0, np.int64)
-        count = np.concatenate([[0], np.cumsum(known, dtype=np.int32)])
-        enough = count[self.size :] - count[: n] >= self.size - self.slack
+        enough = known[self.size :] - known[:n] >= self.size - self.slack
+        enough &= pairs[self.size - 1 : -1] - pairs[:n] >= self.size - 1 - 2 * self.slack
         return np.flatnonzero(enough & (doc[:n] == doc[self.size - 1 :]))
 
-    def find(self, values: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, values: np.ndarray, at: np.ndarray, end: np.ndarray, bits: list) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (window, item) pairs with an equal sample."""
-        walks = [walk(values, at, end, self.steps, w) for w in range(min(WALKS, self.lookups))]
+        walks = [walk(values, at, end, self.steps, bits[w]) for w in range(min(WALKS, self.lookups))]
         pairs = []
         for n, steps in enumerate(self.samples):
             keys = self.key(walks[n % WALKS], n, steps)
@@ -162,22 +177,24 @@ class Index:
             own = [i for i in order if len(self.items[i]) <= RATIO * least]
             self.classes.append(SizeClass(self.items, own, similarity, recall))
             order = order[len(own) :]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        if len(hashes):
-            self.filter[hashes >> np.uint64(64 - FILTER_BITS)] = True
+        bits = max(FILTER_BITS, min(24, int(16 * len(hashes)).bit_length()))
+        self.words, self.pairs, self.shift = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool), np.uint64(64 - bits)
+        self.words[hashes >> self.shift] = True
+        self.pairs[_pair(hashes)[text[1:] == text[:-1]] >> self.shift] = True
 
     def hits(self, values: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
         """(document, item) -> (distance, end word) of the item's best place, for those within the limit."""
         found: dict[tuple[int, int], tuple[int, int]] = {}
         if not len(values):
             return found
-        known = self.filter[values >> np.uint64(64 - FILTER_BITS)]
+        known = np.concatenate([[0], np.cumsum(self.words[values >> self.shift], dtype=np.int32)])
+        pairs = np.concatenate([[0], np.cumsum(self.pairs[_pair(values) >> self.shift], dtype=np.int32), [0]])
         ends = np.searchsorted(doc, np.arange(doc[-1] + 2))
-        for group in self.classes:
-            at = group.near(known, doc)
-            if not len(at):
-                continue
-            where, item = group.find(values, at, ends[doc[at] + 1])
+        near = [(group, at) for group in self.classes if len(at := group.near(known, pairs, doc))]
+        longest = max((group.steps for group, _ in near), default=0)
+        bits = [moves(values, longest, w) for w in range(WALKS if near else 0)]
+        for group, at in near:
+            where, item = group.find(values, at, ends[doc[at] + 1], bits)
             start = at[where]
             order = np.lexsort((start, item))
             start, item = start[order], item[order]

@@ -34,11 +34,15 @@ from stockloom.plans.joins import settled
 K = 5
 SAMPLE = 4
 TABLES = 40
+BINS = 128
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
 CHUNK = 1 << 20  # bytes of text handled at once
 GROWTH = 16  # of the number of pivots per round
 
 
+STATE = ["h", "node", "n", "place", "bag", "mass", "label", "now", "served"]
+
+
 def _seeds(tables: int) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.arange(tables, dtype=np.uint64)
     return mix(numbers, 21)[:, None], (mix(numbers, 22) | np.uint64(1))[:, None]
@@ -91,21 +95,25 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 
 def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
-    """(`doc_id`, `node`, `n`, `keys`, `places`): `node` stands for the text, `n` counts its words.
+    """(`doc_id`, `node`, `n`, `keys`, `places`, `bag`): `node` stands for the text, `n` counts its words.
+
+    `bag` counts them by hash, up to 127 each.
 
     A text of fewer than k words has one k-mer, all its words; without words it has none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, n, keys, places = [], [], [], []
+            nodes, n, keys, places, bags = [], [], [], [], []
             for i, j, values, first, text in _texts(batch.column("text")):
                 nodes += [_key(t) for t in batch.column("text").slice(i, j - i).to_pylist()]
                 at, kmers, _ = windows(values, text, k)
                 cut = np.searchsorted(at, first)
+                bins = (values % np.uint64(BINS)).astype(np.int64)
                 for d in range(len(first) - 1):
                     size = int(first[d + 1] - first[d])
                     n.append(size)
+                    bags.append(np.bincount(bins[first[d] : first[d + 1]], minlength=BINS).clip(max=127).astype(np.int8))
                     if size >= k:
                         own = kmers[cut[d] : cut[d + 1]]
                     else:
@@ -120,11 +128,12 @@ def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
                     "n": pa.array(n, pa.int32()),
                     "keys": pa.array(keys, pa.list_(pa.int64())),
                     "places": pa.array(places, pa.list_(pa.int32())),
+                    "bag": pa.array(bags, pa.list_(pa.int8())),
                 }
             )
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n int, keys array<long>, places array<int>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n int, keys array<long>, places array<int>, bag array<tinyint>"
     return rows.mapInArrow(run, schema)
 
 
@@ -184,14 +193,15 @@ def text_classes(
         F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place")
     )
     shared = entries.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    members = settled(
-        entries.join(shared.select("h", F.col("low").alias("pivot")), "h").distinct(), "buckets"
-    )
+    members = settled(entries.join(shared.select("h", F.col("low").alias("pivot")), "h").distinct(), "buckets")
     if members.isEmpty():
         return rows_of, None, None
     words = settled(_words_of(docs, members.select("node").distinct()), "bucket-words")
+    mass = F.aggregate("bag", F.lit(0), lambda total, x: total + x.cast("int"))
+    bags = rows_of.groupBy("node").agg(F.first("bag").alias("bag")).withColumn("mass", mass)
     first = F.col("node") == F.col("pivot")
-    state = members.select("h", "node", "n", "place", F.col("node").alias("label"), first.alias("now"), first.alias("served"))
+    state = members.withColumn("label", F.col("node")).withColumn("now", first).withColumn("served", first)
+    state = settled(state.join(bags, "node").select(STATE), "bucket-state")
     links, compared, labels, many = None, None, None, GROWTH
     while True:
         pairs = _pairs(state, 1 - similarity)
@@ -208,10 +218,9 @@ def text_classes(
         state = state.join(main.filter("all > most").select("h", "main"), "h")
         waits = ~F.col("served") & (F.col("label") != F.col("main"))
         turn = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        rows = ["h", "node", "n", "place", "label", "now", "served"]
         ahead = state.filter(waits).withColumn("now", turn <= many).withColumn("served", F.col("now"))
         rest = state.filter(~waits).withColumn("now", F.lit(False))
-        state = settled(ahead.select(rows).unionByName(rest.select(rows)), "bucket-state")
+        state = settled(ahead.select(STATE).unionByName(rest.select(STATE)), "bucket-state")
         if state.isEmpty():
             return rows_of, links, labels
         many *= GROWTH
@@ -221,12 +230,16 @@ def _pairs(state: DataFrame, gap: float) -> DataFrame:
     """Distinct (`a`, `b`) of each bucket's present pivots with its members in other components.
 
     At least as many words must be edited before the sampled k-mer, and after it, as
-    the two texts differ there; pairs for which that is more than the band are left out.
+    the two texts differ there; and at least as many as one bag lacks of the other.
+    Pairs for which that is more than the band are left out, before any text is read.
     """
-    pivots = state.filter("now").select(*[F.col(c).alias(f"p_{c}") for c in ("h", "node", "n", "place", "label")])
+    pivots = state.filter("now").select(*[F.col(c).alias(f"p_{c}") for c in STATE])
     ahead = F.abs(F.col("place") - F.col("p_place"))
     behind = F.abs((F.col("n") - F.col("place")) - (F.col("p_n") - F.col("p_place")))
-    near = (F.col("label") != F.col("p_label")) & (ahead + behind <= gap * F.greatest("n", "p_n") + 1e-9)
+    apart = F.zip_with("bag", "p_bag", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    apart = F.aggregate(apart, F.lit(0), lambda total, x: total + x) + F.abs(F.col("mass") - F.col("p_mass"))
+    limit = gap * F.greatest("n", "p_n") + 1e-9
+    near = (F.col("label") != F.col("p_label")) & (ahead + behind <= limit) & (apart / 2 <= limit)
     joined = state.join(pivots, (F.col("h") == F.col("p_h")) & near)
     return joined.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 

@@ -33,6 +33,7 @@ MARGIN = 1.0  # of the distance from median to quantile, beyond the quantile
 SHRINK = 200  # bytes
 LEAST_TRUSTED = 20  # documents; a language with fewer is held to all languages' threshold
 LEAST_DISCOUNT = 0.1
+MOST_LANGUAGES = 10_000  # rows of some 30 bytes broadcast
 CHUNK = 4 << 20
 BUCKETS = 64
 SPREAD = 65521  # a prime: strings that differ in their first bytes alone fall into different buckets
@@ -248,6 +249,11 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return rows.mapInArrow(thin, "doc_id long, text string").join(trusted.hint("merge"), "doc_id", "left_semi").select("text")
 
 
+def _few(languages: DataFrame) -> DataFrame:
+    """A table with a row per language, broadcast unless there are very many: no task then gets a whole language."""
+    return F.broadcast(languages) if languages.count() <= MOST_LANGUAGES else languages
+
+
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink: int = SHRINK) -> DataFrame:
     """`doc_id`, `lang`, `n_bytes`, `perplexity` (per byte), `score`, `threshold`, `kept` for every document.
 
@@ -276,6 +282,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink
     means = settled(means, "language-means")  # a row per language
     all_of = means.agg(F.sum("b") / F.sum("s")).first()[0]
     means = means.filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("l"), (F.col("b") / F.col("s")).alias("mean"))
+    means = _few(means)
 
     def scored(rows: DataFrame) -> DataFrame:
         mean = F.coalesce("mean", F.lit(all_of))
@@ -286,11 +293,11 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink
     # rounded scores take a bounded number of values, so exact quantiles stay small
     middle, upper = F.percentile("score", 0.5), F.percentile("score", quantile)
     limit = (upper + MARGIN * (upper - middle)).alias("limit")
-    own = scored(known).groupBy("l").agg(limit)
+    own = settled(scored(known).filter("l IS NOT NULL").groupBy("l").agg(limit), "language-limits")
     overall = scored(known).agg(limit).first()[0]
     return (
         scored(lengths)
-        .join(own.withColumnRenamed("l", "l2").filter("l2 IS NOT NULL"), F.col("l") == F.col("l2"), "left")
+        .join(_few(own.withColumnRenamed("l", "l2")), F.col("l") == F.col("l2"), "left")
         .withColumn("threshold", F.coalesce("limit", F.lit(overall)))
         .select(
             "doc_id",

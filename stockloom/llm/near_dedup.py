@@ -1,9 +1,12 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A document's k-mers are its runs of five words, each labelled with its occurrence in
-the text. Each of `TABLES` hash functions samples the `SAMPLE` k-mers with the least
-values and keeps them in text order; documents with the same tuple in some table
-meet in a bucket. Unlike a set's MinHash, the tuple also sees order and repeats.
+A document's words are each labelled with their occurrence in the text (k-mers of one
+word: a longer run is broken by each edit within it). Each hash function samples the
+`sample` words with the least values and keeps them in text order; documents with the
+same tuple in some table meet in a bucket. Unlike a set's MinHash, the tuple also sees
+order and repeats. How many tables that takes follows from the similarity, wherever the
+edits lie (`tables_for`). Short texts have shorter tuples; texts of sizes
+at the border have both, so that any two within the limit have one kind in common.
 
 In a bucket, members are compared with a pivot, not with each other. Links join
 documents to components, and a bucket is done when the members that were not yet
@@ -15,6 +18,7 @@ and the sampled places are further apart than the band.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +32,13 @@ from stockloom.llm import bitmaps
 from stockloom.llm.arrow_text import runs, text_bytes
 from stockloom.llm.components import merged
 from stockloom.llm.edit import within
-from stockloom.llm.word_windows import mix, windows, word_hashes, words
+from stockloom.llm.word_windows import mix, word_hashes, words
 from stockloom.plans.joins import settled
 
-K = 5
-SAMPLE = 4
-TABLES = 40
+SAMPLE = 6  # words per tuple
+SHORT_SAMPLE = 3  # the same for texts of fewer than LONG words
+LONG = 32
+RECALL = 0.999  # of pairs at the limit, for texts that repeat no word
 BINS = 128
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
 CHUNK = 1 << 20  # bytes of text handled at once
@@ -43,6 +48,20 @@ GROWTH = 16  # of the number of pivots per round
 STATE = ["h", "node", "n", "place", "bag", "mass", "label", "now", "served"]
 
 
+def tables_for(sample: int, similarity: float, least: int, most: int, recall: float = RECALL) -> int:
+    """Tables by which two texts at the limit meet with probability `recall`, at the worst size from `least` to `most` words.
+
+    With d of n words substituted, n - d words are shared out of n + d in all. A table's
+    tuples are equal if its least values are all among the shared ones. Other edits leave more.
+    """
+    meet = 1.0
+    for n in range(least, most + 1):
+        d = int((1 - similarity) * n + 1e-9)
+        take = min(sample, n)
+        meet = min(meet, math.comb(n - d, take) / math.comb(n + d, take))
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-meet))) if meet < 1 else 1
+
+
 def _seeds(tables: int) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.arange(tables, dtype=np.uint64)
     return mix(numbers, 21)[:, None], (mix(numbers, 22) | np.uint64(1))[:, None]
@@ -62,8 +81,8 @@ def _labelled(kmers: np.ndarray) -> np.ndarray:
     return np.where(times > 0, mix(kmers + times * np.uint64(0x9E3779B97F4A7C15), 23), kmers)
 
 
-def sketch(kmers: np.ndarray, sample: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tuple's hash, place of its first k-mer) per table."""
+def sketch(kmers: np.ndarray, sample: int, tables: int, salt: int = 24) -> tuple[np.ndarray, np.ndarray]:
+    """(tuple's hash, place of its first k-mer) per table. Tuples of different `salt` never meet."""
     labelled = _labelled(kmers)
     take = min(sample, len(kmers))
     xor, times = _seeds(tables)
@@ -77,7 +96,7 @@ def sketch(kmers: np.ndarray, sample: int, tables: int) -> tuple[np.ndarray, np.
     at.sort(axis=1)
     keys = np.arange(tables, dtype=np.uint64)
     for i in range(take):
-        keys = mix(keys ^ labelled[at[:, i]], 24)
+        keys = mix(keys ^ labelled[at[:, i]], salt)
     return keys, at[:, 0]
 
 
@@ -94,33 +113,37 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield i, j, word_hashes(data, begin, end), np.searchsorted(text, np.arange(j - i + 1)), text
 
 
-def sketches(docs: DataFrame, k: int, sample: int, tables: int) -> DataFrame:
+def sketches(docs: DataFrame, similarity: float, sample: int, recall: float) -> DataFrame:
     """(`doc_id`, `node`, `n`, `keys`, `places`, `bag`): `node` stands for the text, `n` counts its words.
 
     `bag` counts them by hash, up to 127 each.
 
-    A text of fewer than k words has one k-mer, all its words; without words it has none.
+    A text without words has no keys.
     """
+    border = int(LONG / similarity)  # texts of more words are within the limit of none below LONG
+    few = min(sample, SHORT_SAMPLE)
+    if few > 1 and similarity <= (few - 1) / few:  # a text of fewer words than a tuple could be linked to one with more
+        raise ValueError(f"similarity {similarity} is too low for tuples of {few} words")
+    # per kind: least and most words, words per tuple, tables, salt
+    kinds = [
+        (1, border, few, tables_for(few, similarity, 1, border, recall), 25),
+        (LONG, 1 << 62, sample, tables_for(sample, similarity, LONG, 64 * LONG, recall), 24),
+    ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, n, keys, places, bags = [], [], [], [], []
             for i, j, values, first, text in _texts(batch.column("text")):
                 nodes += [_key(t) for t in batch.column("text").slice(i, j - i).to_pylist()]
-                at, kmers, _ = windows(values, text, k)
-                cut = np.searchsorted(at, first)
                 bins = (values % np.uint64(BINS)).astype(np.int64)
                 for d in range(len(first) - 1):
                     size = int(first[d + 1] - first[d])
                     n.append(size)
                     bags.append(np.bincount(bins[first[d] : first[d + 1]], minlength=BINS).clip(max=127).astype(np.int8))
-                    if size >= k:
-                        own = kmers[cut[d] : cut[d + 1]]
-                    else:
-                        own = mix(np.array([xxhash.xxh3_64_intdigest(values[first[d] : first[d + 1]].tobytes())], np.uint64))
-                    found = sketch(own, sample, tables) if size else ((), ())
-                    keys.append(np.array(found[0], np.uint64).view(np.int64))
-                    places.append(np.array(found[1], np.int32))
+                    own = values[first[d] : first[d + 1]]
+                    found = [sketch(own, take, tables, salt) for low, high, take, tables, salt in kinds if low <= size <= high]
+                    keys.append(np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in found)]).view(np.int64))
+                    places.append(np.concatenate([np.zeros(0, np.int32), *(x for _, x in found)]).astype(np.int32))
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -185,10 +208,10 @@ def linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 
 def text_classes(
-    docs: DataFrame, similarity: float = SIMILARITY, k: int = K, sample: int = SAMPLE, tables: int = TABLES
+    docs: DataFrame, similarity: float = SIMILARITY, sample: int = SAMPLE, recall: float = RECALL
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Sketches of all documents; links (`a`, `b`) between nodes; (`node`, `label`) of linked nodes."""
-    rows_of = settled(sketches(docs, k, sample, tables), "order-minhash")
+    rows_of = settled(sketches(docs, similarity, sample, recall), "order-minhash")
     entries = rows_of.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")).select(
         F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place")
     )
@@ -229,7 +252,7 @@ def text_classes(
 def _pairs(state: DataFrame, gap: float) -> DataFrame:
     """Distinct (`a`, `b`) of each bucket's present pivots with its members in other components.
 
-    At least as many words must be edited before the sampled k-mer, and after it, as
+    At least as many words must be edited before the sampled word, and after it, as
     the two texts differ there; and at least as many as one bag lacks of the other.
     Pairs for which that is more than the band are left out, before any text is read.
     """

@@ -172,3 +172,29 @@ def test_members_that_miss_the_first_pivot_become_pivots(spark):
     top = _classes(rows)
     got = near_dedup.near_duplicates(documents(spark, rows), sample=1).collect()
     assert len({top[t] for _, t, *_ in rows}) == len({r.class_id for r in got}) == 1
+
+
+@pytest.mark.parametrize("size,share", [(5, 0.2), (9, 0.12), (12, 0.17), (30, 0.2), (36, 0.2), (100, 0.1), (100, 0.15), (100, 0.2), (400, 0.2)])
+def test_copies_edited_evenly_up_to_the_limit_are_found(spark, size, share):
+    """Substituted words at even distances break most runs of words that the two texts have in common."""
+    rows = []
+    for n in range(60):
+        own = prose(size, 50_000 + 100 * size + n, 10**6).split()
+        copy = list(own)
+        edits = int(share * size + 1e-9)
+        for e in range(edits):
+            copy[(2 * e + 1) * size // (2 * edits)] = f"edit{n}x{e}"
+        rows += [(2 * n, " ".join(own), "en", "a"), (2 * n + 1, " ".join(copy), "en", "a")]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(documents(spark, rows)).collect()}
+    assert all(got[2 * n] == 2 * n for n in range(60))
+    assert sum(got[2 * n + 1] == 2 * n for n in range(60)) >= 59
+
+
+def test_texts_at_the_border_of_short_and_long_share_tuples(spark):
+    rows = []
+    for n in range(60):
+        own = prose(40, 90_000 + n, 10**6).split()
+        copy = [w for k, w in enumerate(own) if k % 5 != 2]
+        rows += [(2 * n, " ".join(own), "en", "a"), (2 * n + 1, " ".join(copy[: 32 + n % 2]), "en", "a")]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(documents(spark, rows)).collect()}
+    assert sum(got[2 * n + 1] == 2 * n for n in range(60)) >= 59

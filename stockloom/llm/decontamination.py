@@ -6,7 +6,7 @@ with the same bits fall into step again after an edit, so a small edit distance
 a small Hamming distance, and equal samples of a few steps become likely.
 
 Items are dealt into size classes. In every document, windows of the class's size
-walk along with the items and are looked up by their sampled steps, often enough that
+(shorter where the document ends) walk along with the items and are looked up by their sampled steps, often enough that
 an item at the edit limit is found with probability `recall`: how often is measured on
 random copies of the items, edited up to the limit. Windows that hold too few words of
 any item cannot be within the limit and do not walk; nor can those with too few of their pairs of neighbours. Each hit is verified by the
@@ -131,18 +131,25 @@ class SizeClass:
                 return n + 1
         return MOST_LOOKUPS
 
-    def near(self, known: np.ndarray, pairs: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    def near(self, known: np.ndarray, pairs: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Starts of windows of the class's size, in one document, with words and pairs of the items enough.
 
+        Before a document's end also those that it cuts off, down to the words an item keeps at the limit.
+
         An edit leaves at most one word of the window, and two pairs of neighbours, without
         their like in the item. `known` and `pairs` count those found in some item, up to each word.
         """
-        n = len(known) - self.size
+        n, least, joined = len(known) - self.size, self.size - self.slack, self.size - 1 - 2 * self.slack
+        cut = ends[1:, None] - np.arange(max(1, least), self.size)
+        which, _ = np.nonzero(inside := cut >= ends[:-1, None])
+        cut, stop = cut[inside], ends[1:][which]
+        cut = cut[(known[stop] - known[cut] >= least) & (pairs[stop - 1] - pairs[cut] >= joined)]
         if n <= 0:
-            return np.zeros(0, np.int64)
-        enough = known[self.size :] - known[:n] >= self.size - self.slack
-        enough &= pairs[self.size - 1 : -1] - pairs[:n] >= self.size - 1 - 2 * self.slack
-        return np.flatnonzero(enough & (doc[:n] == doc[self.size - 1 :]))
+            return np.sort(cut)
+        enough = known[self.size :] - known[:n] >= least
+        enough &= pairs[self.size - 1 : -1] - pairs[:n] >= joined
+        whole = np.flatnonzero(enough & (doc[:n] == doc[self.size - 1 :]))
+        return np.sort(np.concatenate([whole, cut])) if len(cut) else whole
 
     def find(self, values: np.ndarray, at: np.ndarray, end: np.ndarray, bits: list) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (window, item) pairs with an equal sample."""
@@ -190,7 +197,7 @@ class Index:
         known = np.concatenate([[0], np.cumsum(self.words[values >> self.shift], dtype=np.int32)])
         pairs = np.concatenate([[0], np.cumsum(self.pairs[_pair(values) >> self.shift], dtype=np.int32), [0]])
         ends = np.searchsorted(doc, np.arange(doc[-1] + 2))
-        near = [(group, at) for group in self.classes if len(at := group.near(known, pairs, doc))]
+        near = [(group, at) for group in self.classes if len(at := group.near(known, pairs, doc, ends))]
         longest = max((group.steps for group, _ in near), default=0)
         bits = [moves(values, longest, w) for w in range(WALKS if near else 0)]
         for group, at in near:

@@ -49,6 +49,28 @@ def test_edited_items_are_found(spark, block):
     assert len(set(got) & planted) >= 0.97 * len(planted) and len(set(got) & limit) >= 0.9 * len(limit)
 
 
+@pytest.mark.parametrize("before", [0, 60])
+def test_shortened_items_alone_and_at_the_end_are_found(spark, before):
+    """A document may end with an item that lacks words, and be shorter than any item."""
+    lucky = random.Random(6)
+    items = [(i, prose(size, 70_000 + i, 10**6)) for i, size in enumerate([5, 6, 9, 10, 15, 16, 30, 33, 50])]
+    rows, planted, light = [], set(), set()
+    for i, text in items:
+        for copy in range(20):
+            own = text.split()
+            most = int(0.2 * len(own) + 1e-9)
+            less = 1 + copy % most
+            for _ in range(less):
+                del own[lucky.randrange(len(own))]
+            number = 100 * i + copy
+            planted.add((number, i))
+            if less <= most / 2:
+                light.add((number, i))
+            rows.append((number, " ".join([*prose(before, number, 10**6).split(), *own]), "en", "a"))
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_items(documents(spark, rows), _items(spark, items)).collect()}
+    assert len(got & planted) >= 0.97 * len(planted) and light <= got <= planted
+
+
 def test_items_in_awkward_rows(spark):
     texts = [t for _, t, *_ in awkward_rows()]
     items = _items(spark, [(1, texts[2].upper()), (2, None), (3, ""), (4, "!!!"), (5, "one two"), (6, " ".join(texts[11].split()[20_000:20_040])), (None, texts[0])])

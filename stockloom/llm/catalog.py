@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, toxicity
+from stockloom.llm import (
+    decontamination,
+    exact_dedup,
+    language,
+    lexical_search,
+    line_dedup,
+    manifest,
+    mixing,
+    near_dedup,
+    quality,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,9 +72,43 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents")).drop("node")
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verified(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_quality": op4_quality, "op5_line_dedup": op5_line_dedup, "op6_substring_dedup": op6_substring_dedup, "op7_exact_dedup": op7_exact_dedup, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_near_dedup": op10_near_dedup}
+    found = [
+        op1_sharding,
+        op2_mixing,
+        op3_language_id,
+        op4_quality,
+        op5_line_dedup,
+        op6_substring_dedup,
+        op7_exact_dedup,
+        op8_toxicity,
+        op9_decontamination,
+        op10_near_dedup,
+        op11_manifest,
+        op12_lexical_search,
+        op13_quality_rules,
+    ]
+    return {fn.__name__: fn for fn in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op6_substring_dedup": substring_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+    return {
+        "op2_mixing": mixing.ORACLE,
+        "op5_line_dedup": line_dedup.ORACLE,
+        "op6_substring_dedup": substring_dedup.ORACLE,
+        "op7_exact_dedup": exact_dedup.ORACLE,
+        "op11_manifest": manifest.ORACLE,
+        "op12_lexical_search": lexical_search.ORACLE,
+    }

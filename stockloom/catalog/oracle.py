@@ -252,20 +252,20 @@ SELECT sha256(subject || '|' || predicate || '|' || object) AS uuid, subject, pr
 FROM (%s) r LEFT JOIN {company} s ON s.symbol = subject LEFT JOIN {company} o ON o.symbol = object
 """
 
-VIEWS["relation_facts"] = _FACTS % "SELECT *, CAST(NULL AS TIMESTAMP) AS valid_at FROM {relations}"
-
-VIEWS["all_facts"] = _FACTS % (
+VIEWS["all_edges"] = (
     "SELECT *, CAST(NULL AS TIMESTAMP) AS valid_at FROM {relations} UNION ALL SELECT * FROM {measurements}"
 )
 
+VIEWS["all_facts"] = _FACTS % "SELECT * FROM {all_edges}"
+
 VIEWS["validity"] = """
 SELECT *, LEAD(valid_at) OVER (PARTITION BY subject, predicate ORDER BY valid_at, seq) AS invalid_at
 FROM {order_facts}
 """
 
 VIEWS["both_ways"] = """
-SELECT DISTINCT src, dst FROM (SELECT subject AS src, object AS dst FROM {relations}
-                               UNION ALL SELECT object, subject FROM {relations}) WHERE src <> dst
+SELECT DISTINCT src, dst FROM (SELECT subject AS src, object AS dst FROM {all_edges}
+                               UNION ALL SELECT object, subject FROM {all_edges}) WHERE src <> dst
 """
 
 VIEWS["entities"] = """
@@ -275,6 +275,12 @@ UNION ALL SELECT DISTINCT sha256('Industry|' || industry), industry, 'Industry'
 UNION ALL SELECT DISTINCT sha256('Sector|' || sector), sector, 'Sector' FROM {overview} WHERE sector <> ''
 UNION ALL SELECT sha256('Officer|' || officer_name), officer_name, CONCAT_WS(' ', 'Officer', position)
 FROM {officer_nodes}
+UNION ALL SELECT sha256(CONCAT_WS('|', 'StockPrice', symbol, date)), CONCAT_WS(' ', symbol, date), 'StockPrice'
+FROM {stock_prices}
+UNION ALL SELECT sha256(CONCAT_WS('|', 'FinancialStatement', symbol, statement_type, period, year, quarter)),
+                 CONCAT_WS(' ', symbol, statement_type, period, year, quarter), 'FinancialStatement' FROM {statement_keys}
+UNION ALL SELECT sha256(CONCAT_WS('|', 'FinancialIndicator', symbol, metric, year, quarter)),
+                 CONCAT_WS(' ', symbol, metric, year, quarter), 'FinancialIndicator' FROM {indicators}
 """
 
 
@@ -344,20 +350,27 @@ VIEWS["hybrid_text_ranks"] = _ranks("hybrid_scores")
 VIEWS["hybrid_vector_ranks"] = _ranks("vector_scores")
 VIEWS["hybrid_fused"] = _fused("hybrid_text_ranks", "hybrid_vector_ranks")
 
-VIEWS["nation_texts"] = (
-    "SELECT n_name AS query_id, n_name || ' ' || r_name AS text FROM nation JOIN region ON n_regionkey = r_regionkey"
-)
+VIEWS["node_questions"] = """
+SELECT n_name AS query_id, n_name || ' ' || r_name AS text FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT DISTINCT c_mktsegment, c_mktsegment FROM customer
+UNION ALL SELECT DISTINCT o_orderpriority, o_orderpriority FROM orders
+"""
 VIEWS["entity_texts"] = "SELECT uuid AS item, name || ' ' || summary AS text FROM {entities}"
-_bm25("entity", "entity_texts", "nation_texts")
+_bm25("entity", "entity_texts", "node_questions")
 VIEWS["entity_ranks"] = _top("entity_scores", 10)
 
 VIEWS["company_vectors"] = "SELECT 'C' || CAST(vec_id AS VARCHAR) AS node, embedding FROM embeddings"
-VIEWS["fact_questions"] = """
-SELECT sector AS query_id, symbol AS seed, CONCAT_WS(' ', 'subsidiary or stake of', symbol, short_name) AS text, embedding
+VIEWS["fact_seeds"] = """
+SELECT sector, symbol AS seed, short_name, embedding
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sector ORDER BY market_cap DESC, symbol DESC) AS place
       FROM {overview} JOIN {company_vectors} ON symbol = node WHERE market_cap IS NOT NULL) WHERE place = 1
 """
-VIEWS["fact_texts"] = "SELECT uuid AS item, fact AS text FROM {relation_facts}"
+VIEWS["fact_questions"] = """
+SELECT sector AS query_id, seed, CONCAT_WS(' ', 'subsidiary or stake or indicator of', seed, short_name) AS text, embedding
+FROM {fact_seeds}
+UNION ALL SELECT sector || ' prices', seed, 'price on 1998-06-15', embedding FROM {fact_seeds}
+"""
+VIEWS["fact_texts"] = "SELECT uuid AS item, fact AS text FROM {all_facts}"
 _bm25("fact", "fact_texts", "fact_questions")
 VIEWS["fact_text_ranks"] = _ranks("fact_scores")
 VIEWS["fact_reached"] = """
@@ -365,17 +378,18 @@ SELECT query_id, seed AS node, 0 AS distance FROM {fact_questions}
 UNION ALL SELECT query_id, dst, 1 FROM {fact_questions} JOIN {both_ways} ON src = seed
 """
 VIEWS["fact_near"] = """
-SELECT query_id, uuid AS item, -CAST(min(distance) AS DOUBLE) AS score
-FROM {fact_reached} JOIN {relation_facts} ON node = subject OR node = object GROUP BY query_id, uuid
+SELECT query_id, item, -CAST(min(distance) AS DOUBLE) AS score FROM (
+  SELECT query_id, uuid AS item, distance FROM {fact_reached} JOIN {all_facts} ON node = subject
+  UNION ALL SELECT query_id, uuid, distance FROM {fact_reached} JOIN {all_facts} ON node = object) GROUP BY query_id, item
 """
 VIEWS["fact_near_ranks"] = _shared_ranks("fact_near", "DENSE_RANK")
 VIEWS["fact_subjects"] = (
     f"SELECT query_id, node AS item, {_cosine('v.embedding', 'q.embedding')} AS score "
-    "FROM {company_vectors} v, {fact_questions} q WHERE node IN (SELECT subject FROM {relation_facts})"
+    "FROM {company_vectors} v, {fact_questions} q WHERE node IN (SELECT subject FROM {all_facts})"
 )
 VIEWS["fact_subject_ranks"] = _shared_ranks("fact_subjects", "RANK")
 VIEWS["fact_similar_ranks"] = (
-    "SELECT query_id, uuid AS item, rank FROM {relation_facts} JOIN {fact_subject_ranks} s ON subject = s.item"
+    "SELECT query_id, uuid AS item, rank FROM {all_facts} JOIN {fact_subject_ranks} s ON subject = s.item"
 )
 VIEWS["fact_fused"] = _fused("fact_text_ranks", "fact_near_ranks", "fact_similar_ranks")
 VIEWS["fact_hits"] = _top("fact_fused", 10)
@@ -631,7 +645,7 @@ SELECT query_id, rank, uuid, name, summary, score FROM {entity_ranks} JOIN {enti
 SQL["fact_search"] = """
 SELECT query_id, rank, fact, strftime(valid_at, '%Y-%m-%dT%H:%M:%S') AS valid_at,
        strftime(invalid_at, '%Y-%m-%dT%H:%M:%S') AS invalid_at, uuid, score
-FROM {fact_hits} JOIN {relation_facts} ON uuid = item
+FROM {fact_hits} JOIN {all_facts} ON uuid = item
 """
 
 # The subset load is the full one over extracts of some symbols.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -593,28 +594,35 @@ def _largest_per_sector(x, companies):
 def khop(x):
     """Two steps around the largest company of each sector."""
     seeds = _largest_per_sector(x, x.overview.select("symbol")).select(F.col("symbol").alias("seed"))
-    edges = settled(traverse.both_ways(facts.relations(x.graph)), "edges")
-    return traverse.khop(edges, seeds, 2)
+    return traverse.khop(traverse.both_ways(facts.all_edges(x.graph)), seeds, 2)
 
 
 @query
 def node_search(x):
-    """Every nation's name with its region, looked up among the entities."""
+    """Nations with their regions, market segments and order priorities, looked up among the entities of all labels."""
     nations = x.table("nation").join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    asked = nations.select(F.col("n_name").alias("query_id"), F.concat_ws(" ", "n_name", "r_name").alias("text"))
+    parts = [
+        nations.select(F.col("n_name").alias("query_id"), F.concat_ws(" ", "n_name", "r_name").alias("text")),
+        x.table("customer").select(F.col("c_mktsegment").alias("query_id"), F.col("c_mktsegment").alias("text")).distinct(),
+        x.table("orders").select(F.col("o_orderpriority").alias("query_id"), F.col("o_orderpriority").alias("text")).distinct(),
+    ]
+    asked = reduce(DataFrame.unionByName, parts)
     return search.node_search(settled(facts.entities(x.graph), "entities"), asked)
 
 
 @query
 def fact_search(x):
-    """Who holds a stake in, and what are the subsidiaries of, each sector's largest company with a vector."""
+    """Among the facts of all types: what there is about each sector's largest company with a vector, and a day's prices."""
     vectors = x.table("embeddings").select(symbol_of("C", "vec_id").alias("node"), "embedding")
     companies = vectors.select(F.col("node").alias("symbol"))
-    asked = _largest_per_sector(x, companies).select(
-        F.col("sector").alias("query_id"),
-        F.col("symbol").alias("seed"),
-        F.concat_ws(" ", F.lit("subsidiary or stake of"), "symbol", "short_name").alias("text"),
-    )
+    largest = _largest_per_sector(x, companies)
+    about = F.concat_ws(" ", F.lit("subsidiary or stake or indicator of"), "symbol", "short_name")
+    texts = {"": about, " prices": F.lit(f"price on {AS_OF}")}
+    asked = [
+        largest.select(F.concat("sector", F.lit(kind)).alias("query_id"), F.col("symbol").alias("seed"), text.alias("text"))
+        for kind, text in texts.items()
+    ]
+    asked = reduce(DataFrame.unionByName, asked)
     questions = settled(asked.join(vectors.withColumnRenamed("node", "seed"), "seed"), "questions")
-    found = settled(facts.edge_facts(x.graph), "facts")
+    found = settled(facts.edge_facts(x.graph, measured=True), "facts")
     return search.fact_search(found, questions, traverse.both_ways(found), vectors)

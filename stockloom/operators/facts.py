@@ -121,15 +121,19 @@ def measurements(graph: Graph) -> DataFrame:
     )
 
 
+def all_edges(graph: Graph) -> DataFrame:
+    """All eight relationship types as (subject, predicate, object, valid_at)."""
+    stored = relations(graph).withColumn("valid_at", F.lit(None).cast("timestamp_ntz"))
+    return stored.unionByName(measurements(graph))
+
+
 def edge_facts(graph: Graph, measured: bool = False) -> DataFrame:
     """One fact per edge, in words, naming companies by name and symbol.
 
     `measured` adds prices, statements and indicators. The load is the episode
     a fact traces back to.
     """
-    rows = relations(graph).withColumn("valid_at", F.lit(None).cast("timestamp_ntz"))
-    if measured:
-        rows = rows.unionByName(measurements(graph))
+    rows = all_edges(graph) if measured else relations(graph).withColumn("valid_at", F.lit(None).cast("timestamp_ntz"))
     names = graph.company.select("symbol", "name")
     subject = names.select(F.col("symbol").alias("subject"), F.col("name").alias("_subject_name"))
     obj = names.select(F.col("symbol").alias("object"), F.col("name").alias("_object_name"))
@@ -155,23 +159,30 @@ def edge_facts(graph: Graph, measured: bool = False) -> DataFrame:
 
 
 def entities(graph: Graph) -> DataFrame:
-    """Searchable entities: companies, industries, sectors and officers."""
+    """Searchable entities of all seven labels. What a company has is named by its symbol and its own key."""
 
-    def part(df: DataFrame, kind: str, key: str, name: str, summary: Column) -> DataFrame:
+    def part(df: DataFrame, kind: str, key: Column, name: Column, summary: Column) -> DataFrame:
         return df.select(
-            F.sha2(F.concat_ws("|", F.lit(kind), F.col(key)), 256).alias("uuid"),
-            F.col(name).alias("name"),
-            summary.alias("summary"),
+            F.sha2(F.concat_ws("|", F.lit(kind), key), 256).alias("uuid"), name.alias("name"), summary.alias("summary")
         )
 
+    def owned(df: DataFrame, kind: str, *key: str) -> DataFrame:
+        name = F.concat_ws(" ", "symbol", *[F.col(c).cast("string") for c in key])
+        return part(df, kind, F.concat_ws("|", "symbol", *[F.col(c).cast("string") for c in key]), name, F.lit(kind))
+
     about_company = F.concat_ws(" ", F.lit("Company"), "symbol", F.nullif("exchange", F.lit("")))
+    about_officer = F.concat_ws(" ", F.lit("Officer"), "position")
+    named = F.col("name")
     return reduce(
         DataFrame.unionByName,
         [
-            part(graph.company, "Company", "symbol", "name", about_company),
-            part(graph.industry, "Industry", "name", "name", F.lit("Industry")),
-            part(graph.sector, "Sector", "name", "name", F.lit("Sector")),
-            part(graph.officer, "Officer", "officer_name", "officer_name", F.concat_ws(" ", F.lit("Officer"), "position")),
+            part(graph.company, "Company", F.col("symbol"), named, about_company),
+            part(graph.industry, "Industry", named, named, F.lit("Industry")),
+            part(graph.sector, "Sector", named, named, F.lit("Sector")),
+            part(graph.officer, "Officer", F.col("officer_name"), F.col("officer_name"), about_officer),
+            owned(graph.stock_price, "StockPrice", "date"),
+            owned(graph.financial_statement, "FinancialStatement", "statement_type", "period", "year", "quarter"),
+            owned(graph.financial_indicator, "FinancialIndicator", "metric", "year", "quarter"),
         ],
     )
 

@@ -372,7 +372,7 @@ UNION ALL SELECT sector || ' prices', seed, 'price on 1998-06-15', embedding FRO
 """
 VIEWS["fact_texts"] = "SELECT uuid AS item, fact AS text FROM {all_facts}"
 _bm25("fact", "fact_texts", "fact_questions")
-VIEWS["fact_text_ranks"] = _ranks("fact_scores")
+VIEWS["fact_text_ranks"] = _shared_ranks("fact_scores", "RANK")
 VIEWS["fact_reached"] = """
 SELECT query_id, seed AS node, 0 AS distance FROM {fact_questions}
 UNION ALL SELECT query_id, dst, 1 FROM {fact_questions} JOIN {both_ways} ON src = seed

@@ -594,7 +594,8 @@ def _largest_per_sector(x, companies):
 def khop(x):
     """Two steps around the largest company of each sector."""
     seeds = _largest_per_sector(x, x.overview.select("symbol")).select(F.col("symbol").alias("seed"))
-    return traverse.khop(traverse.both_ways(facts.all_edges(x.graph)), seeds, 2)
+    edges = settled(traverse.both_ways(facts.all_edges(x.graph), distinct=False), "edges")
+    return traverse.khop(edges, seeds, 2)
 
 
 @query
@@ -625,4 +626,4 @@ def fact_search(x):
     asked = reduce(DataFrame.unionByName, asked)
     questions = settled(asked.join(vectors.withColumnRenamed("node", "seed"), "seed"), "questions")
     found = settled(facts.edge_facts(x.graph, measured=True), "facts")
-    return search.fact_search(found, questions, traverse.both_ways(found), vectors)
+    return search.fact_search(found, questions, traverse.both_ways(found, distinct=False), vectors)

@@ -197,3 +197,157 @@ def test_fact_search_with_and_without_the_other_rankings(spark):
     assert text_only[0].valid_at == "2024-01-02T03:04:05" and text_only[0].invalid_at is None
     every = search.fact_search(facts, asked, traverse.both_ways(facts), vectors).orderBy("rank").collect()
     assert every[0].uuid == "u1" and {r.uuid for r in every} == {"u1", "u2", "u3"}
+
+
+def _facts(spark, rows):
+    kind = "uuid string, subject string, predicate string, object string, fact string"
+    return spark.createDataFrame(rows, kind).selectExpr(
+        "*", "timestamp_ntz '2024-01-02 03:04:05' AS valid_at", "CAST(NULL AS TIMESTAMP_NTZ) AS invalid_at"
+    )
+
+
+def brute_facts(facts, asked, near, vectors, k):
+    """Fusion of the whole lists; what a list cannot tell apart shares a rank."""
+    docs = {u: f for u, _, _, _, f in facts}
+    texts = brute_bm25(docs, {q: t for q, t, _, _ in asked}, len(docs))
+    out = []
+    for q, _, seed, v in asked:
+        scores = {u: s for p, u, s, _ in texts if p == q}
+        lists = [{u: 1 + sum(o > s for o in scores.values()) for u, s in scores.items()}]
+        steps = brute_hops(near, seed, 1)
+        away = {u: min((steps[n] for n in (a, b) if n in steps), default=None) for u, a, _, b, _ in facts}
+        away = {u: d for u, d in away.items() if d is not None}
+        lists.append({u: 1 + sorted(set(away.values())).index(d) for u, d in away.items()})
+        like = {n: round(float(np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w)), 6) for n, w in vectors.items()}
+        used = {a for _, a, _, _, _ in facts}
+        like = {n: s for n, s in like.items() if n in used}
+        lists.append({u: 1 + sum(o > like[a] for o in like.values()) for u, a, _, _, _ in facts if a in like})
+        total = Counter()
+        for ranks in lists:
+            for u, r in ranks.items():
+                total[u] += 1 / (60 + r)
+        best = sorted((-round(s, 6), u) for u, s in total.items())[:k]
+        out += [(q, r, u) for r, (_, u) in enumerate(best, start=1)]
+    return out
+
+
+@pytest.mark.parametrize("shallow", [False, True])
+def test_facts_read_from_the_top_are_those_of_the_whole_lists(spark, monkeypatch, shallow):
+    """Early stopping against full fusion, also where the first rounds read next to nothing."""
+    if shallow:
+        monkeypatch.setattr(search, "candidate_depth", lambda lists, k: 1)
+        monkeypatch.setattr(search, "DEEPER", 3)
+    random.seed(21)
+    rng = np.random.default_rng(21)
+    names = [f"n{i}" for i in range(60)]
+    words = ["alpha", "beta", "gamma", "delta", "stake", "holds"]
+    rows = [
+        (f"u{i:03d}", random.choice(names), "R", random.choice(names), " ".join(random.choices(words, k=random.randint(1, 6))))
+        for i in range(500)
+    ]
+    vectors = {n: [float(round(x, 1)) for x in rng.normal(size=4)] for n in names[:40]}
+    for n in names[5:15]:
+        vectors[n] = vectors[names[0]]  # equally alike
+    asked = [(q, " ".join(random.sample(words, 2)), names[q * 7], [float(x) for x in rng.normal(size=4)]) for q in range(5)]
+    asked.append((9, "no such word", "nowhere", [1.0, 0.0, 0.0, 0.0]))
+    facts = _facts(spark, rows)
+    queries = spark.createDataFrame(asked, "query_id bigint, text string, seed string, embedding array<double>")
+    nodes = spark.createDataFrame(list(vectors.items()), "node string, embedding array<double>")
+    got = search.fact_search(facts, queries, traverse.both_ways(facts), nodes, 10).collect()
+    want = brute_facts(rows, asked, [(a, b) for _, a, _, b, _ in rows], vectors, 10)
+    assert sorted((r.query_id, r.rank, r.uuid) for r in got) == sorted(want)
+    assert {r.valid_at for r in got} == {"2024-01-02T03:04:05"}
+
+
+def joined_rows(spark, since):
+    """The largest number of rows any join has made in the executions numbered from `since` on."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, most = store.executionsList(), 0
+    for i in range(runs.size()):
+        run = runs.apply(i).executionId()
+        if run < since:
+            continue
+        nodes, values = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for j in range(nodes.size()):
+            node = nodes.apply(j)
+            if "Join" not in node.name():
+                continue
+            for m in range(node.metrics().size()):
+                metric = node.metrics().apply(m)
+                if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                    most = max(most, int(values.apply(metric.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_facts_that_tie_are_not_paired(spark, tmp_path):
+    """50,000 facts with one score, next to one seed: joins make rows in proportion, not pairs."""
+    n = 50_000
+    rows = spark.range(n).selectExpr(
+        "concat('u', id) AS uuid", "'hub' AS subject", "'R' AS predicate", "concat('n', id) AS object",
+        "'hub has one' AS fact", "CAST(NULL AS TIMESTAMP_NTZ) AS valid_at", "CAST(NULL AS TIMESTAMP_NTZ) AS invalid_at",
+    )
+    rows.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    asked = [(q, "what has the hub", "hub", [1.0, float(q)]) for q in range(3)]
+    queries = spark.createDataFrame(asked, "query_id bigint, text string, seed string, embedding array<double>")
+    vectors = spark.createDataFrame([("hub", [1.0, 0.5])], "node string, embedding array<double>")
+    store = spark._jsparkSession.sharedState().statusStore()
+    since = store.executionsCount()
+    got = search.fact_search(facts, queries, traverse.both_ways(facts, distinct=False), vectors, 10).collect()
+    first = sorted(f"u{i}" for i in range(n))[:10]
+    assert [(r.query_id, r.uuid) for r in sorted(got, key=lambda r: (r.query_id, r.rank))] == [(q, u) for q in range(3) for u in first]
+    assert n <= joined_rows(spark, since) <= 8 * n
+
+
+def test_ranks_of_ten_thousand_queries(spark):
+    """More queries and bars than one pass takes; no list of candidates is collected."""
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(400, 4)).round(1)
+    vectors[:, 0] += 0.05
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "item_id bigint, embedding array<double>")
+    asked = rng.normal(size=(10_000, 4))
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id bigint, embedding array<double>")
+    wanted = spark.range(20_000).selectExpr("id % 10000 AS query_id", "(id * 7) % 400 AS item_id")
+    got = {(r.query_id, r.item_id): r.rank for r in search.vector_ranks(corpus, queries, wanted, block=4096, bars=5000).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    s = np.round(asked / np.linalg.norm(asked, axis=1, keepdims=True) @ unit.T, 6)
+    for i in range(0, 20_000, 37):
+        q, item = i % 10000, i * 7 % 400
+        better = (s[q] > s[q, item]).sum() + (s[q, :item] == s[q, item]).sum()
+        assert got[q, item] == better + 1
+    assert len(got) == len({(i % 10000, i * 7 % 400) for i in range(20_000)})
+
+
+@pytest.mark.parametrize("piece", [3, 1 << 16])
+def test_hubs_are_many_keys(spark, tmp_path, piece):
+    """A hub's neighbours are dealt out, whoever asks; hundreds of seeds go in sets."""
+    random.seed(13)
+    edges = [("hub", f"n{i}") for i in range(90)] + [(f"n{random.randint(0, 89)}", f"m{random.randint(0, 30)}") for _ in range(80)]
+    traverse.both_ways(spark.createDataFrame(edges, "subject string, object string")).write.parquet(str(tmp_path / "edges"))
+    stored = spark.read.parquet(str(tmp_path / "edges"))
+    seeds = [f"n{i}" for i in range(80)] + ["hub", "m3", "lonely"]
+    seeds += [f"s{i}" for i in range(100)]
+    got = traverse.khop(stored, spark.createDataFrame([(x,) for x in seeds], "seed string"), 2, piece)
+    have = {(r.seed, r.node): r.distance for r in got.collect()}
+    assert have == {(x, n): d for x in seeds for n, d in brute_hops(edges, x, 2).items()}
+    large = {r.src: r.pieces for r in traverse.hubs(stored, piece).collect()}
+    assert large.get("hub") == (30 if piece == 3 else None)
+
+
+def test_a_hub_is_joined_by_piece(spark, tmp_path, monkeypatch):
+    """The plan of a step: the edges meet the ring by node and piece, none by the node alone."""
+    from stockloom.plans import joins
+
+    plans = []
+
+    def planned(df, purpose):
+        if purpose == "ring":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return joins.settled(df, purpose)
+
+    monkeypatch.setattr(traverse, "settled", planned)
+    spark.range(200).selectExpr("'hub' AS src", "concat('n', id) AS dst").write.parquet(str(tmp_path / "edges"))
+    stored = spark.read.parquet(str(tmp_path / "edges"))
+    traverse.khop(stored, spark.createDataFrame([("hub",)], "seed string"), 1, 10)
+    step = plans[-1]
+    assert any("Join Inner" in line and "src#" in line and "piece#" in line for line in step.splitlines())

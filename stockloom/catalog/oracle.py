@@ -564,6 +564,12 @@ SQL["industry_links"] = "SELECT * FROM {links}"
 SQL["sectors"] = "SELECT DISTINCT sector AS name FROM {overview}"
 SQL["industry_in_sector"] = "SELECT * FROM {sector_pairs}"
 SQL["stock_prices"] = "SELECT * FROM {stock_prices}"
+VIEWS["statement_texts"] = """
+SELECT symbol, statement_type, period, year, quarter,
+       COALESCE(string_agg(metric || '=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), ';' ORDER BY metric)
+                FILTER (value IS NOT NULL), '') AS payload
+FROM {statement_values} GROUP BY ALL
+"""
 SQL["statement_nodes"] = """
 SELECT symbol, statement_type, period, year, quarter, CAST(count(value) AS INT) AS metrics,
        COALESCE(string_agg(metric || '=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), ';' ORDER BY metric)
@@ -599,6 +605,21 @@ FROM {{stock_prices}}
 SQL["rejected_measures"] = """
 SELECT 'prices' AS extract, 'volume' AS missing, seq1, seq2 FROM {raw_prices} WHERE close IS NULL
 """
+SQL["stream_graph"] = """
+WITH lines AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS open,
+         l_extendedprice * 2 AS high, l_extendedprice / 2 AS low, CAST(l_quantity AS BIGINT) AS volume,
+         l_linenumber % 3 AS file, l_orderkey AS seq1, l_linenumber AS seq2
+  FROM lineitem WHERE l_returnflag = 'R'),
+streamed AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, date ORDER BY file DESC, seq1 DESC, seq2 DESC, open DESC, high DESC,
+                                 low DESC, volume DESC) AS place
+    FROM lines WHERE symbol IN (SELECT symbol FROM {master})) WHERE place = 1)
+SELECT symbol, date, open, high, low, high AS close, volume FROM streamed
+UNION ALL SELECT * FROM {stock_prices} p WHERE NOT EXISTS (
+  SELECT 1 FROM streamed s WHERE s.symbol = p.symbol AND s.date = p.date)
+"""
 SQL["stream_upsert"] = "SELECT * FROM {stock_prices}"
 
 # --- episodes, facts, search ---------------------------------------------------------
@@ -616,6 +637,13 @@ SELECT symbol AS name, {LOAD_TIME} AS reference_time, 'market' AS source_descrip
 """
 SQL["edge_facts"] = "SELECT * FROM {all_facts}"
 SQL["fact_validity"] = "SELECT * FROM {validity}"
+SQL["validity_merge"] = SQL["fact_validity"]
+SQL["facts_at_moments"] = """
+SELECT l_orderkey, l_linenumber, 'C' || CAST(o_custkey AS VARCHAR) AS subject, l_shipdate AS moment, f.object, f.valid_at, f.seq
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+ASOF LEFT JOIN (SELECT * FROM {order_facts} QUALIFY row_number() OVER (PARTITION BY subject, valid_at ORDER BY seq DESC) = 1) f
+  ON f.subject = 'C' || CAST(o_custkey AS VARCHAR) AND f.valid_at <= l_shipdate
+"""
 SQL["facts_as_of"] = f"""
 SELECT * FROM {{validity}} WHERE valid_at <= {MOMENT} AND (invalid_at IS NULL OR {MOMENT} < invalid_at)
 """
@@ -698,7 +726,84 @@ def _subset_views() -> dict[str, str]:
     return views
 
 
+# --- two loads, the second of one exchange's companies with other values ---------------------------------
+
+_SECOND = {
+    "raw_prices": "close",
+    "officers": "officer_own_percent",
+    "shareholders": "share_own_percent",
+}
+_CHANGED = {"raw_prices": "high", "officers": "officer_own_percent + 1", "shareholders": "share_own_percent / 2"}
+
+
+def _second_views() -> dict[str, str]:
+    """All views, and those of the second load under names with `second_` in front."""
+    views = dict(VIEWS)
+    second = lambda sql: _NAME.sub(lambda m: f"{{second_{m.group(1)}}}", sql)
+    for name, sql in VIEWS.items():
+        views[f"second_{name}"] = second(sql)
+    for name, key in _SUBSET.items():
+        rows = f"SELECT * FROM {{{name}}} WHERE {key} IN {_HOSE}"
+        if name in _SECOND:
+            rows = f"SELECT * REPLACE ({_CHANGED[name]} AS {_SECOND[name]}) FROM ({rows})"
+        views[f"second_{name}"] = rows
+    return views
+
+
+_CENTS = "CAST(CAST({} AS DECIMAL(18,2)) AS VARCHAR)"
+# view, key columns, value of each stored table
+_TABLES = {
+    "company": ("{company}", ("symbol",), "CAST(market_cap AS VARCHAR)"),
+    "industry": ("(SELECT DISTINCT industry AS name FROM {overview} WHERE industry <> '')", ("name",), "''"),
+    "sector": ("(SELECT DISTINCT sector AS name FROM {overview} WHERE sector <> '')", ("name",), "''"),
+    "stock_price": (
+        "{stock_prices}", ("symbol", "date"), f"CONCAT_WS(' ', {_CENTS.format('close')}, CAST(volume AS VARCHAR))",
+    ),
+    "financial_statement": (
+        "{statement_texts}", ("symbol", "statement_type", "period", "year", "quarter"), "payload",
+    ),
+    "financial_indicator": ("{indicators}", ("symbol", "metric", "year", "quarter"), _CENTS.format("value")),
+    "officer": ("{officer_nodes}", ("officer_name",), f"CONCAT_WS(' ', position, {_CENTS.format('own_percent')})"),
+    "belongs_to_industry": ("{links}", ("symbol", "industry"), "''"),
+    "industry_in_sector": ("{sector_pairs}", ("industry", "sector"), "''"),
+    "subsidiary_of": (
+        "{child_rows}", ("child", "parent"), f"CONCAT_WS(' ', {_CENTS.format('ownership_percent')}, relation_type)",
+    ),
+    "holds_stake_in": ("{stakes}", ("holder", "target"), _CENTS.format("stake_percent")),
+    "led_by": ("{led_by}", ("symbol", "officer_name"), f"CONCAT_WS(' ', position, {_CENTS.format('own_percent')})"),
+}
+
+
+def _stored_twice() -> str:
+    parts = []
+    for table, (view, keys, value) in _TABLES.items():
+        key = f"CONCAT_WS('|', {', '.join(keys)})"
+        stub = "exchange IS NULL" if table == "company" else "FALSE"
+        for load, of in ((1, view), (2, _NAME.sub(lambda m: f"{{second_{m.group(1)}}}", view))):
+            parts.append(
+                f"SELECT '{table}' AS \"table\", {key} AS key, COALESCE({value}, '') AS value, {load} AS load, {stub} AS stub FROM {of}"
+            )
+    return (
+        " UNION ALL ".join(parts).join(("SELECT * FROM (", ")"))
+        + ' QUALIFY row_number() OVER (PARTITION BY "table", key ORDER BY stub, CASE WHEN stub THEN -load ELSE load END DESC) = 1'
+    )
+
+
+# An edge is of the second load if that has its key.
+_FACT_LOADS = f"""
+SELECT sha256(subject || '|' || predicate || '|' || object) AS uuid, subject, predicate, object,
+       'load:' || CAST(load AS VARCHAR) AS episode_name,
+       CASE load WHEN 1 THEN {LOAD_TIME} ELSE TIMESTAMP '2001-02-01 00:00:00' END AS reference_time
+FROM (SELECT subject, predicate, object, max(load) AS load FROM (
+        SELECT subject, predicate, object, 1 AS load FROM {{all_edges}}
+        UNION ALL SELECT subject, predicate, object, 2 FROM {{second_all_edges}}) GROUP BY ALL)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {name: expand(sql) for name, sql in SQL.items()}
     found["subset_load"] = expand(_STATS, _subset_views())
+    views = _second_views() | {"stored_twice": _stored_twice()}
+    found["graph_merge_tables"] = expand('SELECT "table", key, value FROM {stored_twice}', views)
+    found["edge_fact_loads"] = expand(_FACT_LOADS, views)
     return found

@@ -17,7 +17,7 @@ from stockloom.operators.upsert import last_write_wins
 from stockloom.plans import load
 from stockloom.plans.joins import settled
 from stockloom.session import work_dir
-from stockloom.sources import store, tables
+from stockloom.sources import facts_store, store, tables
 from stockloom.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ RANGE = ("1996-01-01", "1997-12-31")
 AS_OF = "1998-06-15"
 MOMENT = "1998-01-01 00:00:00"
 LOAD_TIME = "2001-01-01 00:00:00"
+SECOND_LOAD_TIME = "2001-02-01 00:00:00"
 METRICS = [f"{status}{line}" for status in "FO" for line in range(1, 8)]
 
 _QUERIES: dict[str, Callable[[Extracts], DataFrame]] = {}
@@ -468,6 +469,82 @@ def graph_merge(x):
     return store.read_graph(x.spark, root).stock_price
 
 
+def _second_load(x):
+    """The extracts of a later load: prices close at their high, officers own one percent more, stakes are half."""
+    s = x.sources
+    return replace(
+        s,
+        prices=s.prices.withColumn("close", F.col("high")),
+        officers=s.officers.withColumn("officer_own_percent", F.col("officer_own_percent") + 1),
+        shareholders=s.shareholders.withColumn("share_own_percent", F.col("share_own_percent") / 2),
+    )
+
+
+def _two_loads(x) -> str:
+    """A store with a full load and, on top, one of a single exchange's companies with other values."""
+    root = work_dir(x.spark, "graph")
+    store.full_load(x.sources, root, loaded_at=LOAD_TIME)
+    store.full_load(_second_load(x), root, x.hose_symbols, loaded_at=SECOND_LOAD_TIME)
+    return root
+
+
+@query
+def graph_merge_tables(x):
+    """Two loads: what each of the twelve tables holds then, its keys and one value of every row."""
+    graph = store.read_graph(x.spark, _two_loads(x))
+    cents = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    text = lambda c: F.col(c).cast("string")
+    pairs = F.transform(F.map_entries("payload"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("decimal(18,2)").cast("string")))
+    values = {
+        "company": text("market_cap"),
+        "stock_price": F.concat_ws(" ", cents("close"), text("volume")),
+        "financial_statement": F.array_join(pairs, ";"),
+        "financial_indicator": cents("value"),
+        "officer": F.concat_ws(" ", "position", cents("own_percent")),
+        "subsidiary_of": F.concat_ws(" ", cents("ownership_percent"), "relation_type"),
+        "holds_stake_in": cents("stake_percent"),
+        "led_by": F.concat_ws(" ", "position", cents("own_percent")),
+    }
+    rows = [
+        df.select(
+            F.lit(name).alias("table"),
+            F.concat_ws("|", *[text(c) for c in store.KEYS[name]]).alias("key"),
+            F.coalesce(values.get(name, F.lit("")), F.lit("")).alias("value"),
+        )
+        for name, df in graph.tables().items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def edge_fact_loads(x):
+    """Two loads: every fact of the graph with the episode of the load that wrote its edge."""
+    root = _two_loads(x)
+    found = facts.edge_facts(store.read_graph(x.spark, root, loads=True), measured=True)
+    episodes = store.read_episodes(x.spark, f"{root}/episodes")
+    rows = facts.fact_provenance(found, episodes)
+    return rows.select("uuid", "subject", "predicate", "object", "episode_name", "reference_time")
+
+
+@query
+def stream_graph(x):
+    """Returned lines, closing at their high, streamed onto the stored prices in three files, one of them handed on twice."""
+    root, folder = work_dir(x.spark, "graph"), work_dir(x.spark, "price_files")
+    company = settled(build.master_companies(x.overview), "master")
+    store.write_tables({"stock_price": x.graph.stock_price}, root, loaded_at=LOAD_TIME)
+    lines = x.table("lineitem").filter("l_returnflag = 'R'")
+    for part in range(3):  # written one after the other, so they are read in this order
+        own = lines.filter(F.col("l_linenumber") % 3 == part).coalesce(1)
+        own.write.mode("append").parquet(f"{folder}/{part}")
+    stream = daily.price_stream(x.spark, f"{folder}/*", TABLES["lineitem"], files_per_batch=1)
+    priced = lambda df: df.select(*price_columns(F.col("l_extendedprice"))).withColumn("close", F.col("high"))
+    prepare = lambda batch: build.known(C.coerce_prices(priced(batch), VERSION), company)
+    daily.stream_into_graph(stream, root, f"{root}-checkpoint", prepare, VERSION)
+    again = x.spark.read.schema(TABLES["lineitem"]).parquet(f"{folder}/0")
+    daily.merge_batch_once(again, 0, root, prepare, VERSION)
+    return store.read_graph(x.spark, root).stock_price
+
+
 @query
 def episodes_stored(x):
     """Text episodes of two loads, the second written twice, read back by group."""
@@ -533,6 +610,26 @@ def fact_validity(x):
     return facts.fact_validity(x.order_facts)
 
 
+@query
+def validity_merge(x):
+    """The open orders' facts stored first, then all others, most of them earlier: the stored intervals."""
+    root = work_dir(x.spark, "facts")
+    first = F.col("object") == "O"
+    facts_store.merge_facts(x.order_facts.filter(first), root)
+    facts_store.merge_facts(x.order_facts.filter(~first), root)
+    return facts_store.read_facts(x.spark, root)
+
+
+@query
+def facts_at_moments(x):
+    """For every line: the status of its customer's last order by the day it was shipped."""
+    orders = x.table("orders").select("o_orderkey", symbol_of("C", "o_custkey").alias("subject"))
+    lines = x.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("moment"))
+    moments = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    found = facts.facts_at_moments(moments, x.order_facts)
+    return found.select("l_orderkey", "l_linenumber", "subject", "moment", "fact.object", "fact.valid_at", "fact.seq")
+
+
 @query
 def facts_as_of(x):
     return facts.facts_as_of(facts.fact_validity(x.order_facts), MOMENT)

@@ -82,7 +82,10 @@ def relations(graph: Graph) -> DataFrame:
 
     def part(df: DataFrame, predicate: str, subject: str, obj: str) -> DataFrame:
         return df.select(
-            F.col(subject).alias("subject"), F.lit(predicate).alias("predicate"), F.col(obj).alias("object")
+            F.col(subject).alias("subject"),
+            F.lit(predicate).alias("predicate"),
+            F.col(obj).alias("object"),
+            *[c for c in df.columns if c == "load"],
         )
 
     return reduce(
@@ -115,6 +118,7 @@ def measurements(graph: Graph) -> DataFrame:
                 F.lit(predicate).alias("predicate"),
                 obj.alias("object"),
                 at.alias("valid_at"),
+                *[c for c in df.columns if c == "load"],
             )
             for df, predicate, obj, at in parts
         ],
@@ -131,7 +135,7 @@ def edge_facts(graph: Graph, measured: bool = False) -> DataFrame:
     """One fact per edge, in words, naming companies by name and symbol.
 
     `measured` adds prices, statements and indicators. The load is the episode
-    a fact traces back to.
+    a fact traces back to: of a graph read with its loads, the one that wrote the edge.
     """
     rows = all_edges(graph) if measured else relations(graph).withColumn("valid_at", F.lit(None).cast("timestamp_ntz"))
     names = graph.company.select("symbol", "name")
@@ -154,7 +158,7 @@ def edge_facts(graph: Graph, measured: bool = False) -> DataFrame:
         ).alias("fact"),
         "valid_at",
         F.lit(None).cast("timestamp_ntz").alias("invalid_at"),
-        F.concat(F.lit("load:"), F.lower("predicate")).alias("episode_name"),
+        F.concat(F.lit("load:"), F.col("load") if "load" in rows.columns else F.lower("predicate")).alias("episode_name"),
     )
 
 
@@ -190,6 +194,22 @@ def entities(graph: Graph) -> DataFrame:
 # --- validity ---------------------------------------------------------------------
 
 
+def month_starts(facts: DataFrame, about: Sequence[str]) -> DataFrame:
+    """(about, `_month`, `_first`): when each subject's first fact of a month starts."""
+    return facts.groupBy(*about, F.trunc("valid_at", "month").alias("_month")).agg(F.min("valid_at").alias("_first"))
+
+
+def closed(facts: DataFrame, starts: DataFrame, about: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Facts of whole months with their `invalid_at`; `starts` names all months of their subjects that have facts."""
+    rows = facts.withColumn("_month", F.trunc("valid_at", "month"))
+    within = W.partitionBy(*about, "_month").orderBy(*order)
+    over_months = W.partitionBy(*about).orderBy("_month")
+    chain = starts.withColumn("_next_month_first", F.lead("_first").over(over_months)).drop("_first")
+    chained = rows.withColumn("_next", F.lead("valid_at").over(within))
+    joined = chained.join(chain, [*about, "_month"])
+    return joined.withColumn("invalid_at", F.coalesce("_next", "_next_month_first")).select(*facts.columns, "invalid_at")
+
+
 def fact_validity(
     facts: DataFrame, about: Sequence[str] = ("subject", "predicate"), order: Sequence[str] = ("valid_at", "seq")
 ) -> DataFrame:
@@ -200,20 +220,44 @@ def fact_validity(
     subject's next month with facts begins; that is read from the months' first
     facts, a table of one row per subject and month.
     """
-    rows = facts.withColumn("_month", F.trunc("valid_at", "month"))
-    within = W.partitionBy(*about, "_month").orderBy(*order)
-    over_months = W.partitionBy(*about).orderBy("_month")
-    starts = (
-        rows.groupBy(*about, "_month")
-        .agg(F.min("valid_at").alias("_first"))
-        .withColumn("_next_month_first", F.lead("_first").over(over_months))
-        .drop("_first")
-    )
-    chained = rows.withColumn("_next", F.lead("valid_at").over(within))
-    joined = chained.join(starts, [*about, "_month"])
-    return joined.withColumn("invalid_at", F.coalesce("_next", "_next_month_first")).select(
-        *facts.columns, "invalid_at"
+    return closed(facts, month_starts(facts, about), about, order)
+
+
+def facts_at_moments(
+    moments: DataFrame,
+    facts: DataFrame,
+    subject: str = "subject",
+    moment: str = "moment",
+    order: Sequence[str] = ("valid_at", "seq"),
+) -> DataFrame:
+    """Each row of `moments` with the last fact about its subject that had begun by then, as the column `fact`.
+
+    `fact` is a struct of the fact's columns, null where none had begun; a fact that begins at the moment itself counts,
+    and of facts that begin together the last in `order`. A moment that is null has no fact. Facts and
+    moments are put in one table and ordered within a subject's month, where a running last value finds the fact, so
+    no range is joined and a subject with most of the rows is as many groups as it has months. What
+    was last before a month is carried on over a table of one row per subject and month.
+    """
+    value = F.struct(*[F.col(c) for c in facts.columns])
+    rank = F.struct(*order)
+    own = F.struct(*moments.columns)
+    rows = facts.filter(F.col("valid_at").isNotNull()).select(
+        F.col(subject).alias("_subject"), F.col("valid_at").cast("timestamp_ntz").alias("_at"), value.alias("_fact"), rank.alias("_rank")
     )
+    asked = moments.select(F.col(subject).alias("_subject"), F.col(moment).cast("timestamp_ntz").alias("_at"), own.alias("_asked"))
+    both = rows.unionByName(asked, allowMissingColumns=True).withColumn("_month", F.trunc("_at", "month"))
+    key = ["_subject", "_month"]
+    months = both.groupBy(*key).agg(F.max_by("_fact", F.when(F.col("_fact").isNotNull(), F.col("_rank"))).alias("_of_month"))
+    before = W.partitionBy("_subject").orderBy("_month").rowsBetween(W.unboundedPreceding, -1)
+    carried = months.select(*key, F.last("_of_month", ignorenulls=True).over(before).alias("_carried"))
+    # facts first among equal times, so that a moment sees those that begin with it
+    upto = W.partitionBy(*key).orderBy("_at", F.col("_asked").isNotNull(), "_rank")
+    running = F.last("_fact", ignorenulls=True).over(upto.rowsBetween(W.unboundedPreceding, W.currentRow))
+    met = both.withColumn("_running", running).filter(F.col("_asked").isNotNull())
+    same = (F.col("_subject").eqNullSafe(F.col("_c_subject"))) & (F.col("_month").eqNullSafe(F.col("_c_month")))
+    named = carried.select(F.col("_subject").alias("_c_subject"), F.col("_month").alias("_c_month"), "_carried")
+    found = F.when(F.col("_at").isNotNull(), F.coalesce("_running", "_carried")).alias("fact")
+    return met.join(named, same, "left").select("_asked.*", found)
 
 
 def facts_as_of(facts: DataFrame, moment: str) -> DataFrame:

@@ -12,7 +12,7 @@ from stockloom.functions.columns import on_day
 from stockloom.operators.build import known
 from stockloom.operators.upsert import last_write_wins, merge_batch
 from stockloom.session import work_dir
-from stockloom.sources.store import append_batch, latest
+from stockloom.sources.store import append_batch, latest, merge_prices
 
 PRICE_KEY = ("symbol", "date")
 
@@ -71,3 +71,39 @@ def streamed_prices(
     log = os.path.join(root, "log")
     stream_update(stream, log, os.path.join(root, "checkpoint"), prepare, PRICE_KEY, version)
     return latest(spark, log, PRICE_KEY, version)
+
+
+def merge_batch_once(
+    batch: DataFrame,
+    batch_id: int,
+    root: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    version: Sequence[str] = (),
+    stream: str = "prices",
+) -> int:
+    """One batch of a stream over the stored prices; a batch already stored changes nothing.
+
+    The store records the stream's name and the batch's number with the version that the batch made, in one write: a
+    batch that broke off is merged anew, one that was merged is not, however often a stream hands it on. A
+    late day replaces its key in its own month, and no other month is read or written.
+    """
+    rows = last_write_wins(prepare(batch), PRICE_KEY, version)
+    return merge_prices(rows, root, mark=f"{stream}:{batch_id}")
+
+
+def stream_into_graph(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    version: Sequence[str] = (),
+    name: str = "prices",
+) -> None:
+    """All files now waiting on a stream, batch by batch, over the stored graph's prices."""
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, number: merge_batch_once(batch, number, root, prepare, version, name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -655,6 +655,8 @@ FROM {{docs}}
 """
 SQL["bm25_topk"] = f"SELECT query_id, item AS item_id, score, rank FROM ({_top('bench_scores', 10)})"
 SQL["vector_topk"] = f"SELECT query_id, item AS item_id, score, rank FROM ({_top('vector_scores', 10)})"
+SQL["bm25_stored"] = SQL["bm25_topk"]
+SQL["vector_index_topk"] = SQL["vector_topk"]
 SQL["hybrid_topk"] = f"SELECT query_id, item AS item_id, score, rank FROM ({_top('hybrid_fused', 10)})"
 SQL["khop"] = """
 WITH seeds AS (

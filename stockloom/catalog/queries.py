@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stockloom import schemas
 from stockloom.catalog.extracts import TABLES, VERSION, Extracts, price_columns, symbol_of
 from stockloom.functions import columns as C
-from stockloom.operators import build, choose, facts, lookup, reshape, search, traverse
+from stockloom.operators import build, choose, facts, lookup, reshape, search, text_index, traverse, vector_index
 from stockloom.operators.upsert import last_write_wins
 from stockloom.plans import load
 from stockloom.plans.joins import settled
@@ -675,6 +675,25 @@ def vector_topk(x):
     return search.vector_topk(_vectors(x), _questions(x).select("query_id", "embedding"))
 
 
+@query
+def bm25_stored(x):
+    """The same ranking from a stored index, to which the texts came in one load per language."""
+    root = work_dir(x.spark, "text_index")
+    docs = x.table("documents").select(F.col("doc_id").alias("item_id"), "text", "lang")
+    for lang in [r.lang for r in docs.select("lang").distinct().orderBy("lang").collect()]:
+        text_index.append_texts(docs.filter(F.col("lang").eqNullSafe(lang)), root)
+    items = x.table("benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return text_index.bm25_stored(items, root)
+
+
+@query
+def vector_index_topk(x):
+    """The same nearest vectors from a stored inverted file, read until the bound holds."""
+    root = work_dir(x.spark, "vector_index")
+    vector_index.build(_vectors(x), root)
+    return vector_index.search(_questions(x).select("query_id", "embedding"), root)
+
+
 @query
 def hybrid_topk(x):
     return search.hybrid_topk(_texts(x), _vectors(x), _questions(x))

@@ -486,10 +486,17 @@ SELECT symbol, metric, value, year, quarter FROM (
 for _name in ("subsidiaries", "shareholders", "price_history", "indicators"):
     _rows = SQL[_name].split("ORDER BY")[0]
     SQL[f"{_name}_one"] = f"SELECT * FROM ({_rows}) WHERE symbol = (SELECT min(symbol) FROM ({_rows}))"
-SQL["extract_officers"] = "SELECT symbol, officer_name FROM {officers} WHERE officer_own_percent > 0"
-SQL["extract_shareholders"] = "SELECT symbol, share_holder FROM {shareholders}"
-SQL["extract_subsidiaries"] = "SELECT parent_symbol, sub_organ_code FROM {subsidiaries}"
-SQL["extract_listing"] = "SELECT symbol FROM {listing}"
+SQL["extract_officers"] = SQL["scan_officers"] + " WHERE officer_own_percent > 0"
+SQL["extract_shareholders"] = SQL["scan_shareholders"]
+SQL["extract_subsidiaries"] = """
+SELECT parent_symbol, CAST(NULL AS VARCHAR) AS id, sub_organ_code, ownership_percent, organ_name, type FROM {subsidiaries}
+"""
+SQL["extract_listing"] = "SELECT symbol, exchange FROM {listing}"
+SQL["extract_overview"] = SQL["scan_overview"].replace("market_cap FROM", "market_cap, sector FROM")
+SQL["extract_statement"] = """
+SELECT symbol, statement_type, period, year, quarter, metric, value FROM {statement_values}
+WHERE statement_type = 'balance_sheet' AND period = 'quarter' AND value IS NOT NULL
+"""
 SQL["cross_shareholding"] = """
 SELECT a.holder AS symbol_a, a.target AS symbol_b, a.stake_percent AS a_holds_b_pct, b.stake_percent AS b_holds_a_pct
 FROM {stakes} a JOIN {stakes} b ON a.holder = b.target AND a.target = b.holder
@@ -529,6 +536,7 @@ SELECT symbol, year, quarter, seq, 'pe' AS metric, pe AS value FROM {wide_ratios
 UNION ALL SELECT symbol, year, quarter, seq, 'roe', roe FROM {wide_ratios} WHERE roe IS NOT NULL
 UNION ALL SELECT symbol, year, quarter, seq, 'eps', CAST(trim(eps) AS DOUBLE) FROM {wide_ratios} WHERE eps IS NOT NULL
 """
+SQL["extract_ratios"] = f"SELECT symbol, year, quarter, metric, value FROM ({SQL['ratio_unpivot']})"
 SQL["upsert_last_wins"] = "SELECT * FROM {latest_prices}"
 SQL["industries"] = "SELECT DISTINCT industry AS name FROM {overview} WHERE industry <> ''"
 SQL["ingest_audit"] = """

@@ -263,22 +263,42 @@ def indicators_one(x):
 def extract_officers(x):
     """A provider's officers, of whom those with a share still work there."""
     status = F.when(F.col("officer_own_percent") > 0, "Working").otherwise("resigned")
-    return tables.extract_officers(x.officers.withColumn("status", status)).select("symbol", "officer_name")
+    return tables.extract_officers(x.officers.withColumn("status", status))
 
 
 @query
 def extract_shareholders(x):
-    return tables.extract_shareholders(x.shareholders).select("symbol", "share_holder")
+    return tables.extract_shareholders(x.shareholders)
 
 
 @query
 def extract_subsidiaries(x):
-    return tables.extract_subsidiaries(x.subsidiaries).select("parent_symbol", "sub_organ_code")
+    return tables.extract_subsidiaries(x.subsidiaries)
 
 
 @query
 def extract_listing(x):
-    return tables.extract_listing(x.listing).select("symbol")
+    return tables.extract_listing(x.listing)
+
+
+@query
+def extract_overview(x):
+    return tables.extract_overview(x.overview)
+
+
+@query
+def extract_ratios(x):
+    """A provider's wide ratios: numbers, numbers as text, words and times."""
+    return tables.extract_ratios(x.wide_ratios.drop("seq"))
+
+
+@query
+def extract_statement(x):
+    """A provider's wide quarterly balance sheets, one column per metric."""
+    values = build.statement_metrics(x.statements, build.master_companies(x.overview), VERSION)
+    own = values.filter((F.col("statement_type") == "balance_sheet") & (F.col("period") == "quarter"))
+    wide = reshape.wide_metrics(own, ["symbol", "year", "quarter"], METRICS)
+    return C.decimals_to_double(tables.extract_statement(wide, "balance_sheet", "quarter"))
 
 
 @query

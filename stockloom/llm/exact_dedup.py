@@ -2,8 +2,8 @@
 
 A bounded frequent-items sketch (Misra-Gries counters, one per task, merged)
 names the digests that may be frequent. Their exact counts and winners are
-aggregated map-side, at most `tracked` rows, and broadcast: rows of a frequent
-text are settled without a shuffle by that text. All other digests, none of
+aggregated map-side, at most `heavy` rows, and broadcast: the copies of a frequent
+text are settled where they were read and never shuffled. All other digests, none of
 which is frequent, take the ordinary shuffle.
 """
 
@@ -28,35 +28,29 @@ def exact_dedup(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) ->
     are not read. Whatever the sketch names, the result is the same: it only
     decides which way a row takes.
     """
-    texts = settled(
-        docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-        .groupBy("text_sha256", "doc_id")  # spreads a hot text by its ids, and counts repeated rows
-        .agg(F.count(F.lit(1)).alias("n")),
-        "exact-dedup",
-    )
+    texts = settled(docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")), "exact-dedup")
     named = texts.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {tracked})").alias("top")).select(
         F.explode("top.item").alias("text_sha256")
     )
-    groups = [F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")]
     winners = settled(
-        texts.join(F.broadcast(named), "text_sha256").groupBy("text_sha256").agg(*groups), "exact-dedup-heavy"
+        texts.join(F.broadcast(named), "text_sha256")
+        .groupBy("text_sha256")  # a row per task and digest is shuffled
+        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
+        "exact-dedup-heavy",
     )
     frequent = texts.join(F.broadcast(winners), "text_sha256")
+    wins = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    removed = frequent.filter(~wins).select(*columns, F.lit(False).alias("kept"))
+    # rows that repeat a winner's id, and all rows of other texts, are counted before they are shuffled
+    repeated = frequent.filter(wins).groupBy(columns).agg(F.count(F.lit(1)).alias("n"))
     rest = texts.join(F.broadcast(winners), "text_sha256", "left_anti")
-    ordinary = rest.join(rest.groupBy("text_sha256").agg(*groups), "text_sha256")
-    columns = ["doc_id", "keep_id", "group_size", "text_sha256", "n"]
-    return (
-        frequent.select(columns)
-        .unionByName(ordinary.select(columns))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-            "text_sha256",
-        )
-    )
+    rest = rest.groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    groups = rest.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))
+    ordinary = rest.join(groups, "text_sha256").select(*columns, "n")
+    numbered = repeated.unionByName(ordinary).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    settled_rows = numbered.select(*columns, (wins & (F.col("copy") == 1)).alias("kept"))
+    return removed.unionByName(settled_rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 ORACLE = """

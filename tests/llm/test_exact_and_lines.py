@@ -30,6 +30,35 @@ def test_exact_dedup_hot_text(spark):
     assert got.filter("kept").count() == 2001
 
 
+def shuffled_rows(spark, since):
+    """Rows written to shuffles by the executions numbered from `since` on."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, rows = store.executionsList(), 0
+    for i in range(runs.size()):
+        run = runs.apply(i).executionId()
+        if run < since:
+            continue
+        nodes, values = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for j in range(nodes.size()):
+            metrics = nodes.apply(j).metrics()
+            for m in range(metrics.size()):
+                metric = metrics.apply(m)
+                if metric.name() == "shuffle records written" and values.contains(metric.accumulatorId()):
+                    rows += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return rows
+
+
+def test_copies_of_a_heavy_text_are_not_shuffled(spark):
+    """Half of 40,000 rows hold one text, 4,000 of them the same id: what is shuffled is the rest."""
+    rows = [(min(i, 36_000), "heavy" if i % 2 == 0 else f"text {i}", "en", "a") for i in range(40_000)]
+    docs = documents(spark, rows)
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    got = exact_dedup(docs)
+    kept = got.filter("kept AND group_size = 20000").collect()
+    assert [r.doc_id for r in kept] == [36_000] and kept[0].keep_id == 36_000
+    assert shuffled_rows(spark, since) < 2.5 * 20_000
+
+
 def test_exact_dedup_is_native(spark):
     plan = exact_dedup(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -33,7 +33,7 @@ SIMILARITY = 0.8
 RECALL = 0.99
 SAMPLED = 3  # steps per lookup
 WALKS = 12  # independent embeddings, taken in turn
-MOST_LOOKUPS = 96
+LOOKUPS = 1 << 16  # more than this for one class of sizes is an error
 RATIO = 1.2  # of the sizes in a class
 STEPS = 1.6  # of the walk per word: its sampled part seldom leaves the item
 BLOCK_WORDS = 1 << 20
@@ -125,11 +125,11 @@ class SizeClass:
             theirs = walk(copies, stop - length, stop, self.steps, moves(copies, self.steps, w))
             equal = (ours == theirs).mean(axis=0)
             per_walk.append(1 - equal ** min(SAMPLED, self.steps))
-        for n in range(MOST_LOOKUPS):
+        for n in range(LOOKUPS):
             missed *= per_walk[n % WALKS]
             if missed.mean() <= 1 - recall:
                 return n + 1
-        return MOST_LOOKUPS
+        raise ValueError(f"{LOOKUPS} lookups find less than {recall} of the items of {max(sizes)} words")
 
     def near(self, known: np.ndarray, pairs: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Starts of windows of the class's size, in one document, with words and pairs of the items enough.

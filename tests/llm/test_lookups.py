@@ -164,3 +164,27 @@ def test_toxicity_of_awkward_rows(spark):
     assert all(0 <= r.score <= 1 for r in got)
     assert toxicity.toxicity(empty(spark), labels(spark, known)).count() == 0
     assert {r.score for r in toxicity.toxicity(awkward(spark), labels(spark, [])).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("size", [100, 400])
+def test_long_items_get_the_lookups_their_recall_needs(spark, size):
+    """No cap: the longer the items, the more lookups; copies with as many substitutions as the limit allows are found."""
+    lucky = random.Random(size)
+    items = [(i, prose(size, 900_000 + i, 10**6)) for i in range(4)]
+    index = decontamination.Index([i for i, _ in items], [t for _, t in items], 0.8, 0.99)
+    assert all(c.lookups > 96 for c in index.classes)
+    rows, planted = [], set()
+    for n in range(60):
+        item, own = items[n % 4][0], items[n % 4][1].split()
+        for place in lucky.sample(range(size), size // 5):
+            own[place] = f"edit{lucky.randrange(10**9)}"
+        rows.append((n, " ".join([prose(40, n, 3000), *own, prose(40, 99 + n, 3000)]), "en", "a"))
+        planted.add((n, item))
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_items(documents(spark, rows), _items(spark, items)).collect()}
+    assert got <= planted and len(got) >= 59
+
+
+def test_items_that_no_lookups_find_are_an_error(monkeypatch):
+    monkeypatch.setattr(decontamination, "LOOKUPS", 10)
+    with pytest.raises(ValueError, match="10 lookups find less than 0.99 of the items of 100 words"):
+        decontamination.Index([1], [prose(100, 1, 10**6)], 0.8, 0.99)

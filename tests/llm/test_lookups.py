@@ -166,7 +166,7 @@ def test_toxicity_of_awkward_rows(spark):
     assert {r.score for r in toxicity.toxicity(awkward(spark), labels(spark, [])).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("size", [100, 400])
+@pytest.mark.parametrize("size", [200, 400])
 def test_long_items_get_the_lookups_their_recall_needs(spark, size):
     """No cap: the longer the items, the more lookups; copies with as many substitutions as the limit allows are found."""
     lucky = random.Random(size)

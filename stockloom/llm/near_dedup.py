@@ -14,6 +14,9 @@ pivot all belong to one component; until then further members become pivots, `GR
 times as many each round. So a bucket of n copies costs n comparisons, and no pair that a
 bucket proposes is given up unless its two sides are already linked, or their lengths
 and the sampled places are further apart than the band.
+
+Tables propose in waves (`WAVES`): the first few join most copies, and a later table's
+buckets count only where they still hold several components.
 """
 
 from __future__ import annotations
@@ -43,6 +46,7 @@ BINS = 128
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
 CHUNK = 1 << 20  # bytes of text handled at once
 GROWTH = 16  # of the number of pivots per round
+WAVES = (4, 16)  # tables that have proposed after each wave but the last
 
 
 STATE = ["h", "node", "n", "place", "bag", "mass", "label", "now", "served"]
@@ -113,23 +117,27 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield i, j, word_hashes(data, begin, end), np.searchsorted(text, np.arange(j - i + 1)), text
 
 
-def sketches(docs: DataFrame, similarity: float, sample: int, recall: float) -> DataFrame:
-    """(`doc_id`, `node`, `n`, `keys`, `places`, `bag`): `node` stands for the text, `n` counts its words.
-
-    `bag` counts them by hash, up to 127 each.
-
-    A text without words has no keys.
-    """
+def _kinds(similarity: float, sample: int, recall: float) -> list[tuple[int, int, int, int, int]]:
+    """Least and most words, words per tuple, tables and salt, of short texts and of long ones."""
     border = int(LONG / similarity)  # texts of more words are within the limit of none below LONG
     few = min(sample, SHORT_SAMPLE)
     if few > 1 and similarity <= (few - 1) / few:  # a text of fewer words than a tuple could be linked to one with more
         raise ValueError(f"similarity {similarity} is too low for tuples of {few} words")
-    # per kind: least and most words, words per tuple, tables, salt
-    kinds = [
+    return [
         (1, border, few, tables_for(few, similarity, 1, border, recall), 25),
         (LONG, 1 << 62, sample, tables_for(sample, similarity, LONG, 64 * LONG, recall), 24),
     ]
 
+
+def sketches(docs: DataFrame, similarity: float, sample: int, recall: float) -> DataFrame:
+    """(`doc_id`, `node`, `n`, `keys`, `places`, `bag`): `node` stands for the text, `n` counts its words.
+
+    `bag` counts them by hash, up to 127 each.
+
+    A text without words has no keys.
+    """
+    kinds = _kinds(similarity, sample, recall)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, n, keys, places, bags = [], [], [], [], []
@@ -212,21 +220,44 @@ def text_classes(
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Sketches of all documents; links (`a`, `b`) between nodes; (`node`, `label`) of linked nodes."""
     rows_of = settled(sketches(docs, similarity, sample, recall), "order-minhash")
-    entries = rows_of.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")).select(
-        F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place")
+    (_, border, _, short, _), _ = _kinds(similarity, sample, recall)
+    again = (F.col("n") >= LONG) & (F.col("n") <= border) & (F.col("at") >= short)  # long tuples after the short ones
+    entries = rows_of.select("node", "n", F.posexplode(F.arrays_zip("keys", "places")).alias("at", "e")).select(
+        F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place"), (F.col("at") - F.when(again, short).otherwise(0)).alias("table")
     )
     shared = entries.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = settled(entries.join(shared.select("h", F.col("low").alias("pivot")), "h").distinct(), "buckets")
     if members.isEmpty():
         return rows_of, None, None
-    words = settled(_words_of(docs, members.select("node").distinct()), "bucket-words")
+    nodes = members.select("node").distinct()
+    words = settled(_words_of(docs, nodes), "bucket-words")
     mass = F.aggregate("bag", F.lit(0), lambda total, x: total + x.cast("int"))
-    bags = rows_of.groupBy("node").agg(F.first("bag").alias("bag")).withColumn("mass", mass)
+    bags = rows_of.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag"))
+    bags = settled(bags.withColumn("mass", mass), "bucket-bags")
+    links, compared, labels, begin = None, None, None, 0
+    for end in (*WAVES, None):
+        own = members.filter(F.col("table") >= begin if end is None else F.col("table").between(begin, end - 1))
+        links, compared, labels = _wave(own, bags, words, similarity, links, compared, labels)
+        begin = end
+    return rows_of, links, labels
+
+
+def _labelled_by(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Adds `label`, the component of `node`; a node without links is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _wave(members: DataFrame, bags: DataFrame, words: DataFrame, similarity: float, links, compared, labels) -> tuple:
+    """`links`, pairs `compared` and `labels` after the buckets of `members` have proposed all they have to."""
+    members = settled(_labelled_by(members, labels), "wave")
+    several = members.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     first = F.col("node") == F.col("pivot")
-    state = members.withColumn("label", F.col("node")).withColumn("now", first).withColumn("served", first)
+    state = members.join(several.select("h"), "h").withColumn("now", first).withColumn("served", first)
     state = settled(state.join(bags, "node").select(STATE), "bucket-state")
-    links, compared, labels, many = None, None, None, GROWTH
-    while True:
+    many = GROWTH
+    while not state.isEmpty():
         pairs = _pairs(state, 1 - similarity)
         pairs = settled(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = pairs if compared is None else compared.unionByName(pairs)
@@ -234,7 +265,7 @@ def text_classes(
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             labels = merged(labels, found)
-            state = state.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            state = _labelled_by(state.drop("label"), labels)
         # members that were not yet pivot, outside the component that most of those belong to
         waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"))
         main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
@@ -244,9 +275,8 @@ def text_classes(
         ahead = state.filter(waits).withColumn("now", turn <= many).withColumn("served", F.col("now"))
         rest = state.filter(~waits).withColumn("now", F.lit(False))
         state = settled(ahead.select(STATE).unionByName(rest.select(STATE)), "bucket-state")
-        if state.isEmpty():
-            return rows_of, links, labels
         many *= GROWTH
+    return links, compared, labels
 
 
 def _pairs(state: DataFrame, gap: float) -> DataFrame:
@@ -279,11 +309,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **params) -
     columns are not read. `node` stands for the text.
     """
     rows, _, labels = text_classes(docs, similarity, **params)
-    rows = rows.select("doc_id", "node")
-    if labels is None:
-        rows = rows.withColumn("label", F.col("node"))
-    else:
-        rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = _labelled_by(rows.select("doc_id", "node"), labels)
     classes = settled(
         rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes"
     )

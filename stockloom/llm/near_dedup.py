@@ -16,7 +16,9 @@ bucket proposes is given up unless its two sides are already linked, or their le
 and the sampled places are further apart than the band.
 
 Tables propose in waves (`WAVES`): the first few join most copies, and a later table's
-buckets count only where they still hold several components.
+buckets count only where they still hold several components. In a wave a bucket has one
+pivot, out of its largest component, so only what is outside is compared. Further
+pivots come after the last wave, in the buckets that are still open.
 """
 
 from __future__ import annotations
@@ -208,7 +210,9 @@ def _aligned(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
 
 
 def linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Those of (`a`, `b`) whose texts are within the limit."""
+    """Those of (`a`, `b`) whose texts are within the limit. Only the texts they name are shuffled."""
+    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    words = settled(words.join(settled(named, "pair-nodes"), "node", "left_semi"), "pair-words")
     both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("x")), "a").join(
         words.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"
     )
@@ -226,7 +230,7 @@ def text_classes(
         F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place"), (F.col("at") - F.when(again, short).otherwise(0)).alias("table")
     )
     shared = entries.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    members = settled(entries.join(shared.select("h", F.col("low").alias("pivot")), "h").distinct(), "buckets")
+    members = settled(entries.join(shared.select("h"), "h").distinct(), "buckets")
     if members.isEmpty():
         return rows_of, None, None
     nodes = members.select("node").distinct()
@@ -234,38 +238,16 @@ def text_classes(
     mass = F.aggregate("bag", F.lit(0), lambda total, x: total + x.cast("int"))
     bags = rows_of.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag"))
     bags = settled(bags.withColumn("mass", mass), "bucket-bags")
-    links, compared, labels, begin = None, None, None, 0
+    found, begin = Found(words, similarity), 0
     for end in (*WAVES, None):
         own = members.filter(F.col("table") >= begin if end is None else F.col("table").between(begin, end - 1))
-        links, compared, labels = _wave(own, bags, words, similarity, links, compared, labels)
+        found.add(_open(own, bags, found.labels))
         begin = end
-    return rows_of, links, labels
-
-
-def _labelled_by(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Adds `label`, the component of `node`; a node without links is its own."""
-    if labels is None:
-        return rows.withColumn("label", F.col("node"))
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
-def _wave(members: DataFrame, bags: DataFrame, words: DataFrame, similarity: float, links, compared, labels) -> tuple:
-    """`links`, pairs `compared` and `labels` after the buckets of `members` have proposed all they have to."""
-    members = settled(_labelled_by(members, labels), "wave")
-    several = members.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    first = F.col("node") == F.col("pivot")
-    state = members.join(several.select("h"), "h").withColumn("now", first).withColumn("served", first)
-    state = settled(state.join(bags, "node").select(STATE), "bucket-state")
+    state = _open(members, bags, found.labels, turn=1)
     many = GROWTH
     while not state.isEmpty():
-        pairs = _pairs(state, 1 - similarity)
-        pairs = settled(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        found = settled(linked(pairs, words, similarity), "links")
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            labels = merged(labels, found)
-            state = _labelled_by(state.drop("label"), labels)
+        found.add(state)
+        state = _labelled_by(state.drop("label"), found.labels)
         # members that were not yet pivot, outside the component that most of those belong to
         waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"))
         main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
@@ -276,7 +258,47 @@ def _wave(members: DataFrame, bags: DataFrame, words: DataFrame, similarity: flo
         rest = state.filter(~waits).withColumn("now", F.lit(False))
         state = settled(ahead.select(STATE).unionByName(rest.select(STATE)), "bucket-state")
         many *= GROWTH
-    return links, compared, labels
+    return rows_of, found.links, found.labels
+
+
+def _labelled_by(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Adds `label`, the component of `node`; a node without links is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open(members: DataFrame, bags: DataFrame, labels: DataFrame | None, turn: int = 0) -> DataFrame:
+    """Buckets that hold several components, each with one pivot out of its largest; another `turn`, another pivot."""
+    members = settled(_labelled_by(members, labels), "wave")
+    luck = F.struct(F.xxhash64("node", "h", F.lit(turn)).alias("luck"), "node")
+    parts = members.groupBy("h", "label").agg(F.struct(F.count(F.lit(1)).alias("m"), F.min(luck).alias("first")).alias("part"))
+    chosen = parts.groupBy("h").agg(
+        F.max("part")["first"]["node"].alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    pivot = F.col("node") == F.col("pivot")
+    state = members.join(chosen.filter("low < high").select("h", "pivot"), "h").withColumn("now", pivot).withColumn("served", pivot)
+    return settled(state.join(bags, "node").select(STATE), "bucket-state")
+
+
+class Found:
+    """Links between nodes, the pairs compared for them, and the components they make so far."""
+
+    def __init__(self, words: DataFrame, similarity: float):
+        self.words, self.similarity = words, similarity
+        self.links, self.compared, self.labels = None, None, None
+
+    def add(self, state: DataFrame) -> None:
+        """Compares the present pivots of `state` with their buckets."""
+        pairs = _pairs(state, 1 - self.similarity)
+        pairs = settled(pairs if self.compared is None else pairs.join(self.compared, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            return
+        self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
+        new = settled(linked(pairs, self.words, self.similarity), "links")
+        if not new.isEmpty():
+            self.links = new if self.links is None else self.links.unionByName(new)
+            self.labels = merged(self.labels, new)
 
 
 def _pairs(state: DataFrame, gap: float) -> DataFrame:

@@ -2,15 +2,12 @@
 
 The model counts strings of four bytes in all trusted texts. Its tables, a
 probability per string and an interpolation weight per context for each
-order, are made by sharded joins of counts and stay distributed. Tasks scan the
-documents in chunks of some MB and ask, once per chunk and distinct string, for its
-probability; the answers meet the chunk again and give each document's code length.
-So no table is broadcast, and what moves are the compressed texts, once, and the
-distinct strings of chunks.
+order, are made by sharded joins of counts and stay distributed; chunks of documents
+ask them for the strings they hold (`string_costs`), which gives each document's code length.
 
 A document's bits per byte, drawn to its language's mean by `SHRINK` bytes' worth, must not
-exceed that language's threshold: the upper quantile of trusted documents, and once
-more its distance from their median.
+exceed its language's threshold: the upper quantile of what the language's trusted documents have above that
+mean, drawn to the same quantile over all languages by `SHRINK_DOCS` documents' worth.
 """
 
 from __future__ import annotations
@@ -19,25 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm import bitmaps
-from stockloom.llm.arrow_text import PAD, STRING, byte_strings, runs, spans, text_bytes
+from stockloom.llm.arrow_text import PAD, STRING, byte_strings
+from stockloom.llm.string_costs import sum_costs
 from stockloom.plans.joins import settled
 
-QUANTILE = 0.99
-MARGIN = 1.0  # of the distance from median to quantile, beyond the quantile
+QUANTILE = 0.998
 SHRINK = 200  # bytes
-LEAST_TRUSTED = 20  # documents; a language with fewer is held to all languages' threshold
+SHRINK_DOCS = 20  # trusted documents
 LEAST_DISCOUNT = 0.1
 MOST_LANGUAGES = 10_000  # rows of some 30 bytes broadcast
-CHUNK = 4 << 20
-BUCKETS = 64
-SPREAD = 65521  # a prime: strings that differ in their first bytes alone fall into different buckets
-MOVED = "the documents came in another order when they were read again"
 
 
 def count_strings(texts: DataFrame) -> DataFrame:
@@ -126,104 +117,15 @@ def resolve(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> Data
     return grams.select("gram", (-F.log2(p)).cast("float").alias("bits"))
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """(name, rows) of a batch, some MB at a time; the name follows from the content alone."""
-    _, offsets = text_bytes(batch.column("text"))
-    for i, j in runs(offsets, CHUNK):
-        part = batch.slice(i, j - i)
-        data, _ = text_bytes(part.column("text"))
-        ids = str(part.column("doc_id").to_pylist()).encode()
-        yield xxhash.xxh3_64_intdigest(data.tobytes() + ids) - (1 << 63), part
-
-
 def code_lengths(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(`doc_id`, `lang`, `n`, `bits`) of every document: bytes and code length.
-
-    The documents are scanned twice, to ask and to score, and must come in the same
-    order both times, as stored tables do; a chunk that finds no answers raises.
-    """
+    """(`doc_id`, `lang`, `n`, `bits`) of every document: bytes and code length."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.concat(F.lit(PAD), F.coalesce("text", F.lit(""))).alias("text"),
     )
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, part in _chunks(batch):
-                found = [np.unique(grams) for _, _, grams, _ in byte_strings(part.column("text"))]
-                grams = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
-                bucket = grams % np.uint32(SPREAD) % np.uint32(BUCKETS)
-                order = np.argsort(bucket, kind="stable")
-                own = [(int(bucket[order[i]]), grams[order[i:j]].tobytes()) for i, j in spans(bucket[order])]
-                yield pa.record_batch(
-                    {
-                        "bucket": pa.array([b for b, _ in own], pa.int32()),
-                        "chunk": pa.array([name] * len(own), pa.int64()),
-                        "grams": pa.array([g for _, g in own], pa.binary()),
-                    }
-                )
-
-    def distinct(asked: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(g, np.uint32) for g in asked["grams"].to_pylist()]
-        return pa.table({"gram": pa.array(np.unique(np.concatenate(parts)).astype(np.int64))})
-
-    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        if not asked.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int64()), "grams": pa.array([], pa.binary()), "bits": pa.array([], pa.binary())})
-        grams, bits = known["gram"].to_numpy().astype(np.uint32), known["bits"].to_numpy()
-        order = np.argsort(grams)
-        grams, bits = grams[order], bits[order]
-        found = [bits[np.searchsorted(grams, np.frombuffer(g, np.uint32))].tobytes() for g in asked["grams"].to_pylist()]
-        return pa.table({"chunk": asked["chunk"], "grams": asked["grams"], "bits": pa.array(found, pa.binary())})
-
-    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, part in _chunks(batch):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as out:
-                    out.write_batch(part)
-                blob = zstandard.compress(sink.getvalue(), 3)
-                yield pa.record_batch({"chunk": pa.array([name], pa.int64()), "blob": pa.array([blob], pa.binary())})
-
-    def measure(held: pa.Table, told: pa.Table) -> pa.Table:
-        out = []
-        grams = np.frombuffer(b"".join(told["grams"].to_pylist()), np.uint32)
-        bits = np.frombuffer(b"".join(told["bits"].to_pylist()), np.float32)
-        order = np.argsort(grams)
-        grams, bits = grams[order], bits[order]
-        for blob in held["blob"].to_pylist():
-            part = _unpacked(blob)
-            size, length = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows)
-            for i, j, own, starts in byte_strings(part.column("text")):
-                size[i:j] = np.diff([*starts, len(own)])
-                filled = size[i:j] > 0
-                if filled.any():
-                    at = np.searchsorted(grams, own)
-                    if not len(grams) or (grams[np.minimum(at, len(grams) - 1)] != own).any():
-                        raise RuntimeError(MOVED)
-                    cost = bits[at]
-                    length[i:j][filled] = np.add.reduceat(cost, starts[filled], dtype=np.float64)
-            columns = [part.column("doc_id"), part.column("lang"), pa.array(size), pa.array(length)]
-            out.append(pa.table(columns, names=["doc_id", "lang", "n", "bits"]))
-        if not out:
-            raise RuntimeError(MOVED)
-        return pa.concat_tables(out)
-
-    asked = settled(rows.mapInArrow(ask, "bucket int, chunk long, grams binary"), "asked")
-    grams = asked.groupBy("bucket").applyInArrow(distinct, "gram long")
-    known = resolve(grams, tables)
-    known = known.withColumn("bucket", (F.col("gram") % SPREAD % BUCKETS).cast("int"))
-    told = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "chunk long, grams binary, bits binary")
-    carried = rows.mapInArrow(carry, "chunk long, blob binary")
-    return carried.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        measure, "doc_id long, lang string, n long, bits double"
-    )
-
-
-def _unpacked(blob: bytes) -> pa.Table:
-    table = pa.ipc.open_stream(zstandard.decompress(blob)).read_all()
-    return table.combine_chunks().to_batches()[0] if table.num_rows else table
+    costs = sum_costs(rows, lambda grams: resolve(grams, tables).select("gram", F.array("bits").alias("costs")))
+    return costs.select("doc_id", "lang", "n", F.col("costs")[0].alias("bits"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -259,8 +161,8 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink
 
     Trusted are documents whose label says quality 1; all of them are counted. `score`
     is the shrunk number of bits per byte. Kept is a document whose score is at most its
-    language's threshold; a null language, or one with fewer than `LEAST_TRUSTED`
-    trusted documents, is held to the threshold over all. A document without text has
+    language's threshold; a null language, or one without trusted documents, is held to
+    the mean and quantile over all. A document without text has
     no perplexity and is not kept. Without trusted text nothing is measured and every
     document with text is kept. Null ids and repeated rows are documents like
     others; an empty table gives no rows; extra columns are not read.
@@ -281,24 +183,28 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shrink
     means = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum("bits").alias("b"), F.sum("n").alias("s"))
     means = settled(means, "language-means")  # a row per language
     all_of = means.agg(F.sum("b") / F.sum("s")).first()[0]
-    means = means.filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("l"), (F.col("b") / F.col("s")).alias("mean"))
-    means = _few(means)
+    # drawn to the mean over all languages by as many bytes as `SHRINK_DOCS` documents are drawn
+    weight = SHRINK_DOCS * shrink
+    means = means.filter("lang IS NOT NULL").select(
+        F.col("lang").alias("l"), "docs", ((F.col("b") + weight * all_of) / (F.col("s") + weight)).alias("mean")
+    )
 
     def scored(rows: DataFrame) -> DataFrame:
         mean = F.coalesce("mean", F.lit(all_of))
-        return rows.join(means, F.col("lang") == F.col("l"), "left").withColumn(
-            "score", F.round((F.col("bits") + shrink * mean) / (F.col("n") + shrink), 4)
-        )
+        score = F.round((F.col("bits") + shrink * mean) / (F.col("n") + shrink), 4)
+        rows = rows.join(_few(means), F.col("lang") == F.col("l"), "left").withColumn("score", score)
+        return rows.withColumn("mean", F.round(mean, 4)).withColumn("excess", F.col("score") - F.col("mean"))
 
     # rounded scores take a bounded number of values, so exact quantiles stay small
-    middle, upper = F.percentile("score", 0.5), F.percentile("score", quantile)
-    limit = (upper + MARGIN * (upper - middle)).alias("limit")
-    own = settled(scored(known).filter("l IS NOT NULL").groupBy("l").agg(limit), "language-limits")
-    overall = scored(known).agg(limit).first()[0]
+    above = F.percentile("excess", quantile)
+    overall = scored(known).agg(above).first()[0]
+    own = scored(known).filter("l IS NOT NULL").groupBy("l").agg(above.alias("above"), F.first("docs").alias("docs"))
+    drawn = (F.col("docs") * F.col("above") + SHRINK_DOCS * F.lit(overall)) / (F.col("docs") + SHRINK_DOCS)
+    own = settled(own.select(F.col("l").alias("l2"), drawn.alias("limit")), "language-limits")
     return (
         scored(lengths)
-        .join(_few(own.withColumnRenamed("l", "l2")), F.col("l") == F.col("l2"), "left")
-        .withColumn("threshold", F.coalesce("limit", F.lit(overall)))
+        .join(_few(own), F.col("l") == F.col("l2"), "left")
+        .withColumn("threshold", F.round(F.col("mean") + F.coalesce("limit", F.lit(overall)), 4))
         .select(
             "doc_id",
             "lang",

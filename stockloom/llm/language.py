@@ -7,8 +7,9 @@ context, at last as one of 256. The counts are frozen, so a text's code length
 under a language is the sum of its bytes' costs, and the shortest wins.
 
 Counting covers all texts learned from: tasks count 4-byte strings, a shuffle
-adds them up. The costs of the strings seen, for all languages, make the model:
-one row for each distinct 4-byte string of the text, however much text there is.
+adds them up, and no string is left out. While there are at most `MAX_GRAMS` distinct
+strings, the costs of all are sent to the tasks (`Model`); beyond, they stay in tables and
+chunks of documents ask for theirs (`Tables`). Both give the same code lengths.
 """
 
 from __future__ import annotations
@@ -21,14 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm.arrow_text import PAD, STRING, byte_strings
+from stockloom.llm.string_costs import sum_costs
+from stockloom.plans.joins import settled
 
 ORDER = STRING - 1
 DENSE = 1 << 25  # cells of a direct index; a larger one gives way to bisection
-MAX_GRAMS = 1 << 22  # strings in the model at most (the commonest): 16 bytes each for four languages
+MAX_GRAMS = 1 << 22  # distinct strings in a model that is sent out: 16 bytes each for four languages
+HELD = 1 << 23  # distinct strings a counting task holds before it hands them on
 UNKNOWN = "und"
 
 
-def count_strings(texts: DataFrame) -> DataFrame:
+def count_strings(texts: DataFrame, held_most: int = HELD) -> DataFrame:
     """(`lang`, `gram`, `n`) over all rows of (`text`, `lang`), texts padded."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,6 +42,13 @@ def count_strings(texts: DataFrame) -> DataFrame:
             grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
             return grams, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
 
+        def handed(held):
+            for lang, parts in held.items():
+                grams, n = merged(parts)
+                yield pa.record_batch(
+                    {"lang": pa.array([lang] * len(grams)), "gram": pa.array(grams.astype(np.int64)), "n": pa.array(n)}
+                )
+
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for i, j, grams, starts in byte_strings(batch.column("text")):
@@ -49,11 +60,10 @@ def count_strings(texts: DataFrame) -> DataFrame:
                     parts.append(np.unique(np.concatenate(at), return_counts=True))
                     if len(parts) > 16:
                         held[lang] = [merged(parts)]
-        for lang, parts in held.items():
-            grams, n = merged(parts)
-            yield pa.record_batch(
-                {"lang": pa.array([lang] * len(grams)), "gram": pa.array(grams.astype(np.int64)), "n": pa.array(n)}
-            )
+            if sum(len(g) for parts in held.values() for g, _ in parts) > held_most:
+                yield from handed(held)
+                held = {}
+        yield from handed(held)
 
     return texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -135,17 +145,64 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
+class Tables:
+    """The same costs in tables, per order: (`key`, `own`) of strings seen, (`context`, `escape`), maps by language number."""
+
+    def __init__(self, langs: list[str], counts: DataFrame):
+        """`counts`: (`lang`, `gram`, `n`) of all strings."""
+        self.langs = langs
+        number = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int").alias("lang")
+        counts = counts.select(number, "gram", "n")
+        self.orders = []
+
+        def wide(rows: DataFrame, key: str, cost: Column, name: str) -> DataFrame:
+            rows = rows.select(key, F.struct("lang", cost.alias("cost")).alias("e"))
+            return rows.groupBy(key).agg(F.map_from_entries(F.collect_list("e")).alias(name))  # an entry per language
+
+        for order in range(ORDER + 1):
+            seen = counts.groupBy("lang", _last(F.col("gram"), order + 1).alias("key")).agg(F.sum("n").alias("c"))
+            seen = settled(seen.withColumn("context", F.shiftright("key", 8)), f"seen-{order}")
+            contexts = seen.groupBy("lang", "context").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("q"))
+            all_of = F.col("n") + F.col("q")
+            own = wide(seen.join(contexts, ["lang", "context"]), "key", -F.log2(F.col("c") / all_of), "own")
+            escapes = wide(contexts, "context", -F.log2(F.col("q") / all_of), "escape")
+            self.orders.append((settled(own, f"own-{order}"), settled(escapes, f"escapes-{order}")))
+
+    def resolve(self, grams: DataFrame) -> DataFrame:
+        """(`gram`, `costs`): of each string's last byte after the bytes before it, by language."""
+        below = F.array_repeat(F.lit(8.0), len(self.langs))
+        for order, (own, escapes) in enumerate(self.orders):
+            key = _last(F.col("gram"), order + 1)
+            grams = grams.withColumn("_below", below).join(own, key == F.col("key"), "left")
+            grams = grams.join(escapes, F.shiftright(key, 8) == F.col("context"), "left")
+            cost = F.transform(
+                "_below",
+                lambda b, i: F.coalesce(
+                    F.try_element_at("own", i), b + F.coalesce(F.try_element_at("escape", i), F.lit(0.0))
+                ),
+            )
+            grams = grams.select("gram", cost.alias("_costs"))
+            below = F.col("_costs")
+        return grams.select("gram", F.col("_costs").cast("array<float>").alias("costs"))
+
+
+def _last(gram: Column, size: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model | Tables | None:
     """The model of (`text`, `lang`); rows without either are left out. None if nothing is left."""
     counts = count_strings(
         docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("text") != "")).select(
             F.concat(F.lit(PAD), "text").alias("text"), "lang"
         )
     )
-    wide = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
-    table = wide.orderBy(F.desc("n"), "gram").limit(max_grams).select(
-        "gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")
-    ).toArrow()
+    counts = settled(counts, "language-strings")
+    wide = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    if counts.select("gram").distinct().count() > max_grams:
+        names = [r["lang"] for r in counts.select("lang").distinct().collect()]  # languages, not documents
+        return Tables(sorted(names), counts)
+    table = wide.select("gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")).toArrow()
     if not table.num_rows:
         return None
     sizes = np.array([len(x) for x in table["langs"].to_pylist()])
@@ -158,7 +215,21 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
     return Model(langs, keys, matrix)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def _from_sums(sums: DataFrame, langs: list[str]) -> DataFrame:
+    """The prediction of every row of (`doc_id`, `n`, `costs`)."""
+    least = F.array_min("costs")
+    share = F.aggregate("costs", F.lit(0.0), lambda s, b: s + F.pow(F.lit(2.0), F.greatest(least - b, F.lit(-1000.0))))
+    best = F.element_at(F.array(*map(F.lit, langs)), F.array_position("costs", least).cast("int"))
+    filled = F.col("n") > 0
+    return sums.select(
+        "doc_id",
+        F.when(filled, best).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(filled, 1 / share).otherwise(0.0).alias("score"),
+        F.when(filled, least).otherwise(0.0).alias("bits"),
+    )
+
+
+def predict(docs: DataFrame, model: Model | Tables | None) -> DataFrame:
     """`doc_id`, `lang_pred`, `score`, `bits` (shortest code length) of every document's whole text.
 
     `score` is the winner's share of 2^-bits over all languages; ties go to the
@@ -173,6 +244,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         nothing = F.lit(0.0)
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), nothing.alias("score"), nothing.alias("bits"))
+    if isinstance(model, Tables):
+        return _from_sums(sum_costs(rows, model.resolve, len(model.langs)), model.langs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

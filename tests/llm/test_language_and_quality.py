@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from frames import awkward, awkward_rows, documents, empty, labels, prose, stored
 
@@ -67,7 +68,33 @@ def test_index_and_bisection_agree(spark, monkeypatch):
     assert (model.bits(grams) == direct).all()
 
 
-def test_language_of_awkward_rows(spark):
+def test_tables_and_the_model_sent_out_agree(spark, tmp_path):
+    rows = [(i, text, lang, "a") for i, (lang, text) in enumerate(TRAINED)]
+    asked = ["the house", "die straße über", "xyz", "日本 the", "a", "", "123", None, "the cat " * 2000, "the house"]
+    learned = documents(spark, rows)
+    docs = stored(documents(spark, [(i, t, None, None) for i, t in enumerate(asked)]), tmp_path / "docs")
+    large = language.train(learned, max_grams=0)
+    assert isinstance(large, language.Tables)
+    want = {r.doc_id: r for r in language.predict(docs, language.train(learned)).collect()}
+    got = language.predict(docs, large).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        assert r.lang_pred == want[r.doc_id].lang_pred
+        assert r.bits == pytest.approx(want[r.doc_id].bits, rel=1e-5) and r.score == pytest.approx(want[r.doc_id].score, abs=1e-3)
+
+
+def test_counts_handed_on_early_add_up(spark):
+    rows = documents(spark, [(i, text * 3, lang, "a") for i, (lang, text) in enumerate(TRAINED * 20)]).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = set(map(tuple, language.count_strings(rows).collect()))
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        assert set(map(tuple, language.count_strings(rows, held_most=10).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_language_of_awkward_rows(spark, tmp_path):
     got = language.identify(awkward(spark)).collect()
     assert len(got) == len(awkward_rows())
     for r in got:
@@ -76,6 +103,11 @@ def test_language_of_awkward_rows(spark):
     und = Counter(r.doc_id for r in got if r.lang_pred == "und")
     assert und == Counter(i for i, t, *_ in awkward_rows() if not any(c.isalpha() for c in t or ""))
     assert language.identify(empty(spark)).count() == 0
+    learned = documents(spark, [(1, TRAINED[0][1], "en", "a")])
+    small, large = language.train(learned), language.train(learned, max_grams=0)
+    docs = stored(awkward(spark), tmp_path / "docs")
+    rows = [{(r.doc_id, r.lang_pred, round(r.score, 3)) for r in language.predict(docs, m).collect()} for m in (small, large)]
+    assert rows[0] == rows[1] and language.predict(empty(spark), large).count() == 0
     nothing = language.identify(documents(spark, [(1, "text", None, "a")])).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
 
@@ -152,3 +184,33 @@ def test_quality_keeps_clean_documents(spark):
     got = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"), known).join(known, "doc_id")
     clean, junk = got.filter("quality = 1"), got.filter("quality = 0")
     assert clean.filter("kept").count() >= 0.99 * clean.count() and junk.filter("not kept").count() >= 0.9 * junk.count()
+
+
+def test_threshold_is_the_quantile_of_each_language(spark, tmp_path):
+    """Scores, limits and verdicts, from the definition, with a language of few trusted documents and one without any."""
+    rows = [(i, prose(30 + i, i, 60), "en", "a") for i in range(30)]
+    rows += [(30 + i, prose(30 + i, i, 60).replace("x", "ö"), "de", "a") for i in range(4)]
+    rows += [(40, prose(50, 90, 60), "fr", "a"), (41, "%%% ### @@@ " * 20, "en", "a"), (42, "%%% ### @@@ " * 20, "de", "a")]
+    docs = stored(documents(spark, rows), tmp_path / "docs")
+    got = quality.judge(docs, labels(spark, [(i, 1, 0) for i in range(34)]), quantile=0.9).collect()
+    bits = {r.doc_id: math.log2(r.perplexity) * r.n_bytes for r in got}
+    size = {r.doc_id: r.n_bytes for r in got}
+    trusted = {"en": range(30), "de": range(30, 34), "fr": []}
+    overall = sum(bits[i] for i in range(34)) / sum(size[i] for i in range(34))
+    weight = quality.SHRINK_DOCS * quality.SHRINK
+    mean = {
+        lang: (sum(bits[i] for i in ids) + weight * overall) / (sum(size[i] for i in ids) + weight) for lang, ids in trusted.items()
+    }
+
+    def score(i, lang):
+        return (bits[i] + quality.SHRINK * mean[lang]) / (size[i] + quality.SHRINK)
+
+    excess = {lang: [score(i, lang) - mean[lang] for i in ids] for lang, ids in trusted.items()}
+    pooled = np.quantile([e for own in excess.values() for e in own], 0.9)
+    for r in got:
+        own, k = excess[r.lang], quality.SHRINK_DOCS
+        above = (len(own) * np.quantile(own, 0.9) + k * pooled) / (len(own) + k) if own else pooled
+        assert r.score == pytest.approx(score(r.doc_id, r.lang), abs=2e-4)
+        assert r.threshold == pytest.approx(mean[r.lang] + above, abs=5e-4)
+        assert r.kept == (r.score <= r.threshold)
+    assert {r.doc_id for r in got if not r.kept} >= {41, 42}

@@ -33,7 +33,7 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "mix_shard")
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:

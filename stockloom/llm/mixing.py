@@ -9,7 +9,11 @@ A source's documents stand in a seeded order, cut in blocks of equal size. A
 quota takes the whole source as often as its words go into the quota's, and for the
 rest a run of blocks from a seeded block on, back to the first after the last. Positions within a source come from
 prefix sums over buckets of the seeded order, so a source with a third of all
-rows is spread over its buckets.
+rows is spread over its buckets. The order is seeded by id and text, and rows equal in
+both stand there once with their number.
+
+The mix is cut in shards of equal numbers of blocks. Every shard has its own integer quota of
+each source (`shard_quotas`), and takes the blocks that follow those of the shard before.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ SHARE = 1.5  # all targets together, of all sizes
 REPEATS = 2  # no source is taken more often
 BLOCK = 64  # words
 SEED = 17
+SHARDS = 40
 BUCKET_ROWS = 1 << 12
+COPIES = 1 << 12  # equal rows made at a time
 
 
 def _source_key(source: Column) -> Column:
@@ -125,18 +131,21 @@ def mix(
     block: int = BLOCK,
     seed: int = SEED,
     bucket_rows: int = BUCKET_ROWS,
+    shards: int = SHARDS,
 ) -> DataFrame:
-    """One row per document: `doc_id`, `source`, `size`, `source_size`, `target`, `quota`, `taken`, `text_md5`.
+    """One row per document: `doc_id`, `source`, `size`, `source_size`, `target`, `quota`, `taken`, `text_md5`, `mix_shard`.
 
     `size` counts words (null or wordless text: 0). `taken` is what the mix takes
     of the document, repeats counted, at most `repeats` times its size.
+    `mix_shard` is the shard of its first word taken (null: none), by the shards' own quotas.
     A source's words come within one block of its target. Null ids and repeated
-    rows are documents like others; ties in the seeded order fall to the text's
-    digest, then only equal rows are left. No words at all: nothing is taken. An
+    rows are documents like others; rows of equal id and text are counted before they are
+    placed, each gets its own place. No words at all: nothing is taken. An
     empty table gives no rows. Extra columns are not read. Single rows per
     source are ranked in one task; documents never are.
     """
-    seeded = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    seeded = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest))
     words = settled(
         docs.select(
             "doc_id",
@@ -144,18 +153,25 @@ def mix(
             _source_key(F.col("source")).alias("key"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             seeded.alias("at"),
-            F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
-        ),
+            digest.alias("text_md5"),
+        )
+        .groupBy("doc_id", "source", "key", "size", "at", "text_md5")
+        .agg(F.count(F.lit(1)).alias("copies")),
         "mix-words",
     )
     buckets = max(1, words.count() // bucket_rows)
     place = F.conv(F.substring("at", 1, 8), 16, 10).cast("long")
     words = words.withColumn("bucket", F.floor(place * buckets / F.lit(2**32)).cast("int"))
-    parts = settled(words.groupBy("key", "bucket").agg(F.sum("size").alias("part")), "mix-parts")
+    parts = settled(words.groupBy("key", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("part")), "mix-parts")
     sizes = parts.groupBy("key").agg(F.sum("part").alias("source_size"))
     sources = targets(sizes, weights, share, repeats)
     house = F.round(F.sum("target").over(Window.partitionBy()) / block)
-    sources = quotas(sources, house)
+    sources = settled(quotas(sources, house), "mix-sources")
+    own = shard_quotas(sources.select("key", "target"), shards, block).groupBy("key")
+    own = own.agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "quota"))), lambda x: x["quota"]).alias("own"))
+    # where each shard's blocks of the source end, in the order they are taken
+    ends = F.transform("own", lambda _, i: F.aggregate(F.slice("own", 1, i + 1), F.lit(0).cast("long"), lambda n, q: n + q))
+    sources = sources.join(own.select("key", ends.alias("ends")), "key")
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"start{seed}"), "key")), 1, 8), 16, 10).cast("long")
 
     size = F.greatest("source_size", F.lit(1))
@@ -169,13 +185,17 @@ def mix(
     )
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = parts.withColumn("offset", F.coalesce(F.sum("part").over(before), F.lit(0))).join(
-        sources.select("key", "source_size", "target", "quota", "every", "run_from", "run_to", "wrap_to"), "key"
+        sources.select("key", "source_size", "target", "quota", "every", "once", "run_from", "run_to", "wrap_to", "ends"), "key"
     )
     within = Window.partitionBy("key", "bucket").orderBy("at", "doc_id", "text_md5")
+    held = F.col("size") * F.col("copies")
     placed = words.join(plan.drop("part"), ["key", "bucket"]).withColumn(
-        "begin",
-        F.col("offset") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"),
+        "begin", F.col("offset") + F.sum(held).over(within.rowsBetween(Window.unboundedPreceding, 0)) - held
     )
+    far = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))
+    near = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(COPIES), F.col("copies") - F.col("far") * COPIES) - 1))
+    placed = placed.withColumn("far", far).withColumn("near", near)
+    placed = placed.withColumn("begin", F.col("begin") + (F.col("far") * COPIES + F.col("near")) * F.col("size"))
     end = F.col("begin") + F.col("size")
 
     def overlap(a: Column, b: Column) -> Column:
@@ -186,8 +206,23 @@ def mix(
         + overlap(F.col("run_from"), F.col("run_to"))
         + overlap(F.lit(0).cast("long"), F.col("wrap_to"))
     )
+    # the run is taken first, then what it goes on with from the first block, then the whole source
+    first = (
+        F.when(overlap(F.col("run_from"), F.col("run_to")) > 0, F.greatest("begin", "run_from") - F.col("run_from"))
+        .when(overlap(F.lit(0).cast("long"), F.col("wrap_to")) > 0, F.col("run_to") - F.col("run_from") + F.col("begin"))
+        .when((F.col("every") > 0) & (F.col("size") > 0), F.col("once") + F.col("begin"))
+    )
+    passed = F.size(F.filter("ends", lambda e: e <= F.floor(first / block)))
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), "text_md5"
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        "quota",
+        taken.cast("long").alias("taken"),
+        "text_md5",
+        F.when(first.isNotNull(), passed).alias("mix_shard"),
     )
 
 
@@ -196,7 +231,7 @@ WITH words AS (
   SELECT doc_id, text, source,
          CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS key,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS seeded
+         md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS seeded
   FROM documents
 ), sized AS (
   SELECT key, sum(size)::BIGINT AS source_size FROM words GROUP BY key
@@ -217,7 +252,7 @@ WITH words AS (
          ceil(source_size / 64)::BIGINT AS blocks
   FROM weighed, level
 ), seats AS (  -- every seat with its quotient; the highest win
-  SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, (key = '')::INT, key) AS rank,
+  SELECT key, k, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, (key = '')::INT, key) AS rank,
          (SELECT round(sum(target) / 64) FROM aimed) AS house
   FROM (SELECT key, target, unnest(range(0, 3 * blocks + 2)) AS k FROM aimed WHERE target > 0)
 ), quotas AS (
@@ -236,9 +271,17 @@ WITH words AS (
          sum(size) OVER (PARTITION BY w.key ORDER BY seeded, doc_id NULLS FIRST, md5(coalesce(text, ''))
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begin
   FROM words w JOIN cuts c ON c.key = w.key
+), met AS (
+  SELECT *, greatest(least(begin + size, run_to) - greatest(begin, run_from), 0) AS in_run,
+         greatest(least(begin + size, wrap_to) - begin, 0) AS in_wrap
+  FROM placed
+), firsts AS (  -- the block of a document's first word taken
+  SELECT *, CASE WHEN in_run > 0 THEN greatest(begin, run_from) - run_from
+                 WHEN in_wrap > 0 THEN run_to - run_from + begin
+                 WHEN every > 0 AND size > 0 THEN words - every * source_size + begin END // 64 AS block
+  FROM (SELECT m.*, c.words FROM met m JOIN cuts c ON c.key = m.key)
 )
-SELECT doc_id, size, source_size, target,
-       (every * size + greatest(least(begin + size, run_to) - greatest(begin, run_from), 0)
-        + greatest(least(begin + size, wrap_to) - begin, 0))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, (every * size + in_run + in_wrap)::BIGINT AS taken,
+       ((40 * rank + house::BIGINT - 1) // house::BIGINT - 1)::INT AS mix_shard  -- the first with rank <= house * (shard + 1) / 40
+FROM firsts f LEFT JOIN seats s ON s.key = f.key AND s.k = f.block
 """

@@ -76,6 +76,19 @@ def test_rows_without_a_proper_id_are_told_apart(spark, folder):
     assert _count(got) == Counter({(i, t, lang, s): 1 for i, t, lang, s in rows})
 
 
+def test_columns_called_like_the_helpers(spark, folder):
+    docs = _read(spark, folder)
+    names = ("_pipeline_row", "__Pipeline_Row", "_times", "class_id", "count", "quality", "a.b", "t", "s", "none")
+    docs = docs.select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = settled(stage(spark, docs, folder), "t")
+        assert got.columns == docs.columns and 0 < got.count() <= 2 * docs.count(), name
+        for n in names:
+            assert got.filter(~F.col(f"`{n}`").eqNullSafe(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")))).isEmpty()
+        docs = got
+    assert corpus_pipeline.sharding_stage(spark, docs, folder).count() == docs.count()
+
+
 def test_no_documents(spark, folder):
     docs = empty(spark)
     for _, stage in corpus_pipeline.STAGES:

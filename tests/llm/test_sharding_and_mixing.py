@@ -100,6 +100,35 @@ def test_mix_takes_near_its_targets_whatever_the_buckets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_shards_take_their_own_quotas(spark):
+    """Documents of one block each: a shard takes as many of a source as its quota says."""
+    rows = [(i, prose(64, i), "en", f"s{i % 5 // 2}") for i in range(600)]
+    got = mixing.mix(documents(spark, rows), share=0.5, shards=7).collect()
+    assert {r.taken for r in got} == {0, 64} and all((r.mix_shard is None) == (r.taken == 0) for r in got)
+    aims = spark.createDataFrame(list({("s" + r.source, r.target) for r in got}), "key string, target double")
+    want = Counter({(r.key[1:], r.shard): r.quota for r in mixing.shard_quotas(aims, 7).collect()})
+    assert Counter((r.source, r.mix_shard) for r in got if r.taken) == +want
+
+
+@pytest.mark.parametrize("ids", ["none", "one"])
+def test_documents_without_an_id_of_their_own_are_spread(spark, ids):
+    """Half the rows without an id, or under one; a third of all rows equal in id and text."""
+    own = None if ids == "none" else 7
+    rows = [(own, prose(1 + i % 50, i), "en", "a") for i in range(300)] + [(1000 + i, prose(40, i), "en", "b") for i in range(300)]
+    rows += [(own, prose(30, 9999), "en", "a")] * 300
+    df = documents(spark, rows)
+    got = mixing.mix(df, bucket_rows=20).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, len(t.split())) for i, t, *_ in rows)
+    taken, aim = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        aim[r.source] = r.target
+    assert all(abs(taken[s] - aim[s]) <= 64 for s in aim)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(df.repartition(3), bucket_rows=100).collect()))
+    whole = {r.text_md5 for r in got if r.source == "a" and r.taken == r.size}
+    assert len({r.text_md5 for r in got if r.source == "a"}) == 301 and 0 < len(whole)
+
+
 def test_nothing_to_mix(spark):
     got = mixing.mix(documents(spark, [(1, "", "en", "a"), (2, None, None, None)])).collect()
     assert [(r.size, r.taken, r.target) for r in got] == [(0, 0, 0.0)] * 2

@@ -5,70 +5,90 @@ they came with; the last returns each document's place. `run` writes every stage
 the shared folder and reads them for the next, so a lost executor costs one stage at most.
 
 Inside a stage a row is known by 64 bits of all its columns, not by its id: rows that share an id, or
-have none, are told apart, and rows equal in every column share their fate.
+have none, are told apart, and rows equal in every column share their fate. Helper columns take
+names the documents do not have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import decontamination, mixing, near_dedup, quality, sharding
 from stockloom.plans.joins import settled
 
 ROW = "_pipeline_row"
+TIMES = "_times"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _known(docs: DataFrame) -> DataFrame:
-    parts = [part for c in docs.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-    return docs.withColumn(ROW, F.xxhash64(*parts))
+def _free(docs: DataFrame, name: str) -> str:
+    """`name`, behind as many underscores as it takes to be a new column (names are not case-sensitive)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def _own(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def _known(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with each row's number, and that column's name."""
+    row = _free(docs, ROW)
+    parts = [part for c in _own(docs) for part in (c.isNull(), c)]
+    return docs.withColumn(row, F.xxhash64(*parts)), row
 
 
 def _by_row(docs: DataFrame) -> DataFrame:
     """The columns operators read, with the row's number in place of its id."""
-    return _known(docs).select(F.col(ROW).alias("doc_id"), "text", "lang", "source")
+    rows, row = _known(docs)
+    return rows.select(F.col(row).alias("doc_id"), "text", "lang", "source")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose perplexity stays below their language's threshold. Those without text go."""
-    rows = _known(docs)
+    rows, row = _known(docs)
     labels = _table(spark, folder, "labels").select("doc_id", "quality")
-    trusted = rows.select("doc_id", ROW).join(labels, "doc_id").select(F.col(ROW).alias("doc_id"), "quality")
-    kept = quality.judge(_by_row(docs), trusted).filter("kept").select(F.col("doc_id").alias(ROW))
-    return rows.join(settled(kept, "quality-kept"), ROW, "left_semi").select(docs.columns)
+    trusted = rows.select("doc_id", row).join(labels, "doc_id").select(F.col(row).alias("doc_id"), "quality")
+    kept = quality.judge(_by_row(docs), trusted).filter("kept").select(F.col("doc_id").alias(row))
+    return rows.join(settled(kept, "quality-kept"), row, "left_semi").select(_own(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each class of near duplicates the document with the least id; null ids come last, then the row decides."""
-    rows = _known(docs)
-    classes = near_dedup.near_duplicates(_by_row(docs)).select(F.col("doc_id").alias(ROW), "class_id").distinct()
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    rows, row = _known(docs)
+    classes = near_dedup.near_duplicates(_by_row(docs)).select(F.col("doc_id").alias(row), "class_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
     winners = (
-        rows.select(ROW, "doc_id").join(classes, ROW).groupBy("class_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW)
+        rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
     )
-    repeated = rows.groupBy(ROW).count().filter("count > 1")
+    repeated = rows.select(row).groupBy(row).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeated.isEmpty():  # they meet map-side first, so one of a third of all rows is one row per task
-        rows = rows.dropDuplicates([ROW])
-    return rows.join(settled(winners, "near-winners"), ROW, "left_semi").select(docs.columns)
+        rows = rows.dropDuplicates([row])
+    return rows.join(settled(winners, "near-winners"), row, "left_semi").select(_own(docs))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontamination.find_items(_by_row(docs), _table(spark, folder, "benchmark"))
-    leaks = settled(found.select(F.col("doc_id").alias(ROW)).distinct(), "leaks")
-    return _known(docs).join(leaks, ROW, "left_anti").select(docs.columns)
+    rows, row = _known(docs)
+    leaks = settled(found.select(F.col("doc_id").alias(row)).distinct(), "leaks")
+    return rows.join(leaks, row, "left_anti").select(_own(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document as often as the mix takes its words, to the nearest whole number of times."""
-    taken = mixing.mix(_by_row(docs)).groupBy(F.col("doc_id").alias(ROW)).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
-    times = taken.filter("s > 0").select(ROW, F.floor(F.col("t") / F.col("s") + 0.5).cast("int").alias("_times"))
-    rows = _known(docs).join(times.filter("_times > 0"), ROW)
-    return rows.withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select(docs.columns)
+    rows, row = _known(docs)
+    times = _free(docs, TIMES)
+    taken = mixing.mix(_by_row(docs)).groupBy(F.col("doc_id").alias(row)).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+    taken = taken.filter("s > 0").select(row, F.floor(F.col("t") / F.col("s") + 0.5).cast("int").alias(times))
+    rows = rows.join(taken.filter(F.col(times) > 0), row)
+    return rows.withColumn(times, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(_own(docs))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

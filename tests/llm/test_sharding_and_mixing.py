@@ -6,7 +6,7 @@ from frames import awkward, awkward_rows, documents, empty, prose
 from pyspark.sql import functions as F
 
 from stockloom.llm import mixing
-from stockloom.llm.sharding import shard
+from stockloom.llm.sharding import records, shard
 
 
 def _checked(rows, got):
@@ -50,6 +50,38 @@ def test_a_text_larger_than_a_shard_is_divided(spark):
     assert len(loads) == 10 and max(loads.values()) < 1.05 * mean
 
 
+@pytest.mark.parametrize("shards", [1, 3, 11])
+def test_placement_is_that_of_the_definition(spark, shards):
+    """Every row's shard and slot, by a loop over all texts in the order of their keys."""
+    rows = [(i, prose(3 + i % 40, i % 500, 60), "en", "a") for i in range(900)]
+    rows += [(2000 + i, f"copied {i % 4} " * 9, "en", "a") for i in range(120)] + [(5000, prose(900, 7), "en", "a"), (5001, None, "en", "a")]
+    df = documents(spark, rows)
+    known = sorted((r.key, r.doc_id, r.size) for r in records(df).collect())
+    held = Counter()
+    for key, _, size in known:
+        held[key >> 24] += size
+    target = sum(held.values()) / shards
+    heavy = {t for t, n in held.items() if n > target / 64}
+    assert heavy and max(held.values()) <= target
+    loads, where = [0] * shards, {}
+    for t in sorted(heavy, key=lambda t: (-held[t], t)):
+        where[t] = loads.index(min(loads))
+        loads[where[t]] += held[t]
+    room = [max(0.0, target - n) for n in loads]
+    room = room if sum(room) else [target] * shards
+    light = sum(n for t, n in held.items() if t not in heavy)
+    cuts = [sum(room[: s + 1]) * max(1, light) / sum(room) for s in range(shards - 1)]
+    passed = 0
+    for t in sorted(set(held) - heavy):
+        where[t] = sum(c <= passed + held[t] / 2 for c in cuts)
+        passed += held[t]
+    want, slots = {}, Counter()
+    for key, doc_id, _ in known:
+        want[doc_id] = (where[key >> 24], slots[where[key >> 24]])
+        slots[where[key >> 24]] += 1
+    assert {r.doc_id: (r.shard, r.slot) for r in shard(df, shards=shards).collect()} == want
+
+
 def _sainte_lague(votes: dict[str, float], seats: int) -> Counter:
     won: Counter = Counter()
     order = sorted(votes, key=lambda k: (k == "", k))

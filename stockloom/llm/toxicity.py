@@ -69,7 +69,10 @@ def _counted(terms: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def sampled(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame, dict[int, int]]:
-    """(`doc_id`, `toxic`, `term`, `tf`) of the examples, and how many labelled documents there are by label."""
+    """(`doc_id`, `toxic`, `term`, `tf`) of the examples, and how many labelled documents there are by label.
+
+    Each example also has a row with a null term, so that one without any word is an example too.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = settled(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
     count = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -88,6 +91,8 @@ def sampled(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame,
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, toxic = batch.column("doc_id"), batch.column("toxic")
+            none = [pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())]
+            yield pa.record_batch([ids, toxic, *none], names=["doc_id", "toxic", "term", "tf"])
             for i, _, terms, row in terms_of(batch.column("text")):
                 row, terms, tf = _counted(terms, row)
                 at = pa.array(row + i)
@@ -101,7 +106,7 @@ def vocabulary(examples: DataFrame, sizes: dict[int, int], terms: int, least_doc
     """Term -> number of examples that have it, for those commoner among toxic ones that depend on the label most."""
     n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
     n, a = n0 + n1, F.col("toxic")
-    table = examples.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("toxic"))
+    table = examples.filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("toxic"))
     off = a * n0 - (F.col("df") - a) * n1
     chi = off * off * n / (F.lit(max(n0 * n1, 1.0)) * F.col("df") * F.greatest(F.lit(n) - F.col("df"), F.lit(1.0)))
     best = (
@@ -183,7 +188,8 @@ class Index:
         """Share of similarity on the toxic side, at the labels' true shares."""
         pull = cosine * self.vote[found]
         base = PRIOR * float(self.vote.mean()) if len(self.vote) else 1.0
-        return float((pull[self.toxic[found] == 1].sum() + base * self.prior) / (pull.sum() + base))
+        share = (pull[self.toxic[found] == 1].sum() + base * self.prior) / (pull.sum() + base)
+        return round(float(share), 9)  # equal neighbours make equal votes
 
     def calibrate(self) -> Index:
         """Isotonic regression of the examples' labels on their own votes, each left out of its neighbours."""

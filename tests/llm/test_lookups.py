@@ -1,6 +1,8 @@
+import math
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -155,6 +157,79 @@ def test_toxic_documents_are_found(spark):
     assert shown.evidence and all(e % 6 == 0 for e in shown.evidence)
 
 
+def _terms(text):
+    words = re.findall("[a-z0-9]+", text)
+    return Counter((n, w[:n]) for w in words for n in (0, 4, 6) if len(w) > n and n) + Counter((0, w) for w in words)
+
+
+def _toxicity(rows, known):
+    """Scores from the definition: vocabulary, vectors, every cosine, votes and pooled rates."""
+    examples = {i: (_terms(t or ""), toxic) for (i, t, *_), (_, _, toxic) in zip(rows, known, strict=True) if zlib.crc32(str(i).encode()) % 4 != 2}
+    n1 = sum(y for _, y in examples.values())
+    n, n0 = len(examples), len(examples) - n1
+    df, pos = Counter(), Counter()
+    for terms, y in examples.values():
+        df.update(set(terms))
+        pos.update(set(terms) if y else ())
+
+    def chi(t):
+        return (pos[t] * n0 - (df[t] - pos[t]) * n1) ** 2 * n / (n1 * n0 * df[t] * max(n - df[t], 1))
+
+    bar = min(toxicity.ENOUGH_CHI, max(toxicity.LEAST_CHI, n / 60))
+    chosen = {t for t in df if df[t] >= 3 and pos[t] * n0 > (df[t] - pos[t]) * n1 and chi(t) >= bar}
+    assert 0 < len(chosen) < toxicity.TERMS
+
+    def vector(terms):
+        v = {t: (1 + math.log(k)) * (math.log((1 + n) / (1 + df[t])) + 1) for t, k in terms.items() if t in chosen}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = {i: vector(terms) for i, (terms, _) in examples.items()}
+    prior = n1 / n
+
+    def vote(own, but=None):
+        if not own:
+            return -1.0
+        near = [(-round(sum(x * v.get(t, 0.0) for t, x in own.items()), 9), i) for i, v in vectors.items() if i != but]
+        near = sorted(x for x in near if x[0] < 0)[: toxicity.NEIGHBOURS]
+        up = -sum(c for c, i in near if examples[i][1])
+        return round((up + toxicity.PRIOR * prior) / (-sum(c for c, _ in near) + toxicity.PRIOR), 9)
+
+    votes = defaultdict(list)
+    for i, (_, y) in examples.items():
+        votes[vote(vectors[i], i)].append(y)
+    steps = []
+    for v in sorted(votes):
+        steps.append([v, len(votes[v]), sum(votes[v])])
+        while len(steps) > 1 and steps[-2][2] / steps[-2][1] >= steps[-1][2] / steps[-1][1]:
+            _, a, b = steps.pop()
+            steps[-1][1] += a
+            steps[-1][2] += b
+    rates = np.maximum.accumulate([(b + prior) / (a + 1) for _, a, b in steps])
+
+    def score(text):
+        v = vote(vector(_terms(text or "")))
+        return rates[max(0, sum(s[0] <= v for s in steps) - 1)]
+
+    return {i: score(t) for i, t, *_ in rows}
+
+
+def test_scores_are_those_of_the_definition(spark):
+    lucky = random.Random(9)
+    slurs = [f"slur{c}word" for c in "abcdefgh"]
+    rows, known = [], []
+    for i in range(500):
+        toxic = lucky.random() < 0.2
+        own = lucky.choices(slurs, k=lucky.randint(0, 5) if toxic else lucky.choice((0, 0, 0, 0, 1, 2)))
+        text = "" if i % 57 == 1 else None if i % 57 == 3 else f"{prose(40, i, 400)} {' '.join(own)}"
+        rows.append((i, text, "en", "a"))
+        known.append((i, 1, int(toxic)))
+    want = _toxicity(rows, known)
+    assert len(set(want.values())) > 3
+    for r in toxicity.toxicity(documents(spark, rows), labels(spark, known)).collect():
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-6), r
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows, known = _toxic_rows()
     docs = documents(spark, [*awkward_rows(), *((i + 1000, *r) for i, *r in rows)])

@@ -98,7 +98,7 @@ def sum_costs(rows: DataFrame, resolve: Callable[[DataFrame], DataFrame], width:
         grams = np.frombuffer(b"".join(told["grams"].to_pylist()), np.uint32)
         costs = np.frombuffer(b"".join(told["costs"].to_pylist()), np.float32).reshape(len(grams), width)
         order = np.argsort(grams)
-        grams, costs = grams[order], costs[order]
+        grams, costs = grams[order], np.ascontiguousarray(costs[order].T)
         for blob in held["blob"].to_pylist():
             part = _unpacked(blob)
             size, sums = np.zeros(part.num_rows, np.int64), np.zeros((part.num_rows, width))
@@ -109,7 +109,8 @@ def sum_costs(rows: DataFrame, resolve: Callable[[DataFrame], DataFrame], width:
                     at = np.searchsorted(grams, own)
                     if not len(grams) or (grams[np.minimum(at, len(grams) - 1)] != own).any():
                         raise RuntimeError(MOVED)
-                    sums[i:j][filled] = np.add.reduceat(costs[at], starts[filled], axis=0, dtype=np.float64)
+                    for k in range(width):
+                        sums[i:j][filled, k] = np.add.reduceat(costs[k][at], starts[filled], dtype=np.float64)
             cuts = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * np.int32(width))
             columns = [*(part.column(c) for c in others), pa.array(size), pa.ListArray.from_arrays(cuts, pa.array(sums.ravel()))]
             out.append(pa.table(columns, names=[*others, "n", "costs"]))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from stockloom.llm.arrow_text import runs, spans, text_bytes
 from stockloom.llm.edit import best_part
 from stockloom.llm.word_windows import LETTERS, mix, word_hashes, words
+from stockloom.plans.joins import settled
 
 SIMILARITY = 0.8
 RECALL = 0.99
@@ -242,8 +243,12 @@ def find_items(
         if not own:
             continue
         index = Index([r["item_id"] for r in own], [r["text"] for r in own], similarity, recall)
-        part = texts.mapInArrow(_search(spark.sparkContext.broadcast(index)), SCHEMA)
-        found = part if n == 0 else found.unionByName(part)
+        shared = spark.sparkContext.broadcast(index)
+        part = texts.mapInArrow(_search(shared), SCHEMA)
+        if blocks > 1:  # one block's index at a time
+            part = settled(part, f"items-{n}")
+            shared.destroy()
+        found = part if blocks == 1 else found.unionByName(part)
     return found
 
 

@@ -1,8 +1,9 @@
 """Word scores are worked out where the texts are read: what they may shuffle, write and join."""
 
 import pytest
+from test_search import joined_rows
 
-from stockloom.operators import search
+from stockloom.operators import search, text_index
 from stockloom.plans import joins
 
 N, ASKED = 2000, 30
@@ -56,3 +57,11 @@ def test_facts_are_counted_per_score(spark, tmp_path, queries, monkeypatch):
     sizes = largest_written(monkeypatch)
     assert search.fact_search(facts, queries, k=2).count() == 2 * ASKED
     assert max(sizes) < N * ASKED / 2
+
+
+def test_a_stored_item_is_scored_once_for_all_queries(spark, corpus, queries, tmp_path):
+    root = str(tmp_path / "index")
+    text_index.append_texts(corpus, root)
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    assert text_index.bm25_stored(queries, root, k=3).count() == 3 * ASKED
+    assert joined_rows(spark, since) < N * ASKED / 4

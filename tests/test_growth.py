@@ -3,8 +3,10 @@
 import glob
 import os
 
+import pytest
 from test_queries import FOLDER
 
+from stockloom.catalog import extracts
 from stockloom.catalog import queries as catalog
 from stockloom.operators import reshape
 from stockloom.sources import tables
@@ -42,3 +44,33 @@ def test_a_streamed_hand_over_is_more_than_one_file(spark, tmp_path, monkeypatch
     assert found == catalog.queries()["stock_prices"](spark, FOLDER).count()
     for part in range(3):
         assert len(glob.glob(f"{tmp_path}/price_files/{part}/*.parquet")) > 1
+
+
+def shuffles(df):
+    """How often the plan deals rows out by key, AQE's own copies aside."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_trades_are_joined_once_for_all_that_read_them(spark, monkeypatch):
+    written = []
+    keep = extracts.settled
+    monkeypatch.setattr(extracts, "settled", lambda df, purpose: written.append(purpose) or keep(df, purpose))
+    x = extracts.Extracts(spark, FOLDER)
+    assert x.graph.industry.count() and written == []  # a table that needs no trades waits for none
+    assert x.graph.holds_stake_in.count() and x.graph.subsidiary_of.count() and written == ["trades"]
+    for name in ("shareholders", "subsidiaries"):
+        stored, plain = getattr(x.load_sources, name), getattr(x, name)
+        assert stored.columns == plain.columns and stored.count() == plain.count() > 0
+        assert stored.exceptAll(plain).isEmpty()
+
+
+def test_lines_are_dealt_out_for_orders_and_parts_alone(spark, no_broadcast):
+    plan = extracts.Extracts(spark, FOLDER)._trades._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(o_custkey" in plan and plan.index("hashpartitioning(o_custkey") > plan.index("hashpartitioning(l_orderkey")

@@ -8,7 +8,7 @@ from test_queries import FOLDER
 
 from stockloom.catalog import extracts
 from stockloom.catalog import queries as catalog
-from stockloom.operators import reshape
+from stockloom.operators import build, reshape
 from stockloom.sources import tables
 
 
@@ -58,6 +58,16 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_are_dealt_out_once_for_check_and_reduction(spark, no_broadcast):
+    company = spark.createDataFrame([("A",)], "symbol string")
+    day = spark.createDataFrame([("A", "2025-01-02", 1.0, 1), ("A", "2025-01-02", 2.0, 2), ("Z", "2025-01-02", 3.0, 1)], "symbol string, date string, close double, seq int")
+    held = spark.createDataFrame([("A", "B", 1.0, 1), ("A", "B", 2.0, 2), ("Z", "B", 1.0, 1)], "symbol string, share_holder string, share_own_percent double, seq int")
+    prices, holders = build.stock_prices(day, company, ("seq",)), build.holder_rows(held, company, ("seq",))
+    assert shuffles(prices) == shuffles(holders) == 2  # the rows and the companies
+    assert [(r.symbol, r.close) for r in prices.collect()] == [("A", 2.0)]
+    assert [tuple(r) for r in holders.collect()] == [("B", "A", 2.0)]
+
+
 def test_trades_are_joined_once_for_all_that_read_them(spark, monkeypatch):
     written = []
     keep = extracts.settled

@@ -4,12 +4,14 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from test_queries import FOLDER
 
 from stockloom.catalog import extracts
 from stockloom.catalog import queries as catalog
-from stockloom.operators import build, reshape
-from stockloom.sources import tables
+from stockloom.operators import build, facts, reshape
+from stockloom.plans import load
+from stockloom.sources import store, tables
 
 
 def test_wanted_symbols_are_distinct_before_they_are_joined(spark):
@@ -84,3 +86,60 @@ def test_trades_are_joined_once_for_all_that_read_them(spark, monkeypatch):
 def test_lines_are_dealt_out_for_orders_and_parts_alone(spark, no_broadcast):
     plan = extracts.Extracts(spark, FOLDER)._trades._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(o_custkey" in plan and plan.index("hashpartitioning(o_custkey") > plan.index("hashpartitioning(l_orderkey")
+
+
+def test_a_load_of_some_symbols_cuts_the_extracts_where_they_are_read(spark):
+    x = extracts.Extracts(spark, "/root/testdata/sf0.01")
+    assert not x.hose_symbols.isEmpty()
+    plan = load.build_graph(x.sources, x.hose_symbols, stored=True).stock_price._jdf.queryExecution().optimizedPlan().toString()
+    assert "supplier.parquet" not in plan and "s_acctbal" not in plan  # a stored list, not the plan that makes it
+
+
+def test_a_first_load_writes_its_rows_once(spark, tmp_path, monkeypatch):
+    written = []
+    keep = store.settled
+    monkeypatch.setattr(store, "settled", lambda df, purpose: written.append(purpose) or keep(df, purpose))
+    row = lambda d, c: spark.sql(f"SELECT 'A' AS symbol, date '{d}' AS date, {c}D AS close")
+    first = row("2024-01-05", 1).unionByName(row("2024-02-05", 2))
+    store.write_tables({"stock_price": first, "industry": spark.createDataFrame([("Bank",)], "name string")}, str(tmp_path))
+    assert written == []
+    assert store.stored_parts(spark, str(tmp_path), "stock_price") == ["2024-01", "2024-02"]
+    store.write_tables({"stock_price": row("2024-02-05", 9)}, str(tmp_path))
+    assert written == ["load-stock_price"]
+    (prices,) = store.read_tables(spark, str(tmp_path), "stock_price")
+    assert sorted((str(r.date), r.close, r.load) for r in prices.collect()) == [("2024-01-05", 1.0, 1), ("2024-02-05", 9.0, 2)]
+
+
+def test_facts_look_up_distinct_objects_of_measurements(spark, monkeypatch):
+    """Also a measurement's object that is a company's symbol is named; days are not dealt out one by one."""
+    written = {}
+    keep = facts.settled
+    monkeypatch.setattr(facts, "settled", lambda df, purpose: written.setdefault(purpose, keep(df, purpose)))
+    make = spark.createDataFrame
+    days = make([("A", f"2024-01-{d:02d}", 1.0) for d in range(1, 29)], "symbol string, date string, close double").withColumn("date", F.col("date").cast("date"))
+    empty = {
+        "belongs_to_industry": "symbol string, industry string",
+        "industry_in_sector": "industry string, sector string",
+        "subsidiary_of": "child string, parent string",
+        "holds_stake_in": "holder string, target string",
+        "led_by": "symbol string, officer_name string",
+        "financial_statement": "symbol string, statement_type string, period string, year int, quarter int",
+    }
+    held = {name: (lambda columns=columns: make([], columns)) for name, columns in empty.items()}
+    company = make([("A", "Alpha"), ("2024-01-05", "A day"), ("pe 2024 1", "Odd"), ("B", "Beta")], "symbol string, name string")
+    ratio = make([("A", "pe", 2024, 1), ("Z", "pe", 2024, 2)], "symbol string, metric string, year int, quarter int")
+    graph = load.Graph(company=lambda: company, stock_price=lambda: days, financial_indicator=lambda: ratio, **held)
+    found = {r.fact for r in facts.edge_facts(graph, measured=True).collect()}
+    assert len(found) == 30
+    assert {"Alpha (A) has a price on 2024-01-04", "Alpha (A) has a price on A day (2024-01-05)", "Alpha (A) has the indicator Odd (pe 2024 1)", "Z has the indicator pe 2024 2"} <= found
+    assert sorted(r.object for r in written["objects"].collect()) == ["2024-01-05", "pe 2024 1"]
+
+
+def test_an_expansion_stores_each_edge_once(spark, monkeypatch):
+    stored = {}
+    keep = catalog.settled
+    monkeypatch.setattr(catalog, "settled", lambda df, purpose: stored.setdefault(purpose, keep(df, purpose)))
+    assert not catalog.queries()["khop"](spark, FOLDER).isEmpty()
+    assert stored["edges"].columns == ["subject", "object"]
+    x = extracts.Extracts(spark, FOLDER)
+    assert stored["edges"].count() == facts.all_edges(x.graph).count()

@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by the least label with pointer jumping."""
+"""Connected components of a table of links: trees of least neighbours, contracted until no link is left between two."""
 
 from __future__ import annotations
 
@@ -11,35 +11,43 @@ from stockloom.plans.joins import settled
 def components(links: DataFrame) -> DataFrame:
     """(`node`, `label`) for every node of (`a`, `b`): the least node of its component.
 
-    Each step takes the least label among a node and its neighbours, then the label of
-    that label; so a chain of n links takes about log n steps. Every step is written,
-    nothing is collected, and a node with very many links is only ever the one
-    row that many rows look up.
+    Each round hooks a node onto its least neighbour and follows the hooks to their
+    roots, so a chain of n hooks takes about log n steps. Then a link joins the roots of
+    its two ends; links within one tree are dropped and equal ones become one, so a
+    link is read again only while it still joins two trees. Every step is
+    written, nothing is collected, and a node with very many links is only
+    ever the one row that many rows look up.
     """
-    edges = settled(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = settled(
-        edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")),
-        "labels",
-    )
+    edges, labels = settled(links.select("a", "b").distinct(), "edges"), None
     while True:
-        near = (
-            edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        step = settled(
-            labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new")), "labels-near"
-        )
-        target = step.select(F.col("node").alias("new"), F.col("new").alias("far"))
-        new = settled(
-            step.join(target, "new").select("node", F.least("new", "far").alias("new"), "label"),
-            "labels",
-        )
-        labels = new.select("node", F.col("new").alias("label"))
-        if new.filter("new <> label").isEmpty():
+        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+        trees = _rooted(settled(hooks.withColumn("label", F.least("node", "label")), "hooks"))
+        if labels is None:
+            labels = trees
+        else:
+            least = trees.select(F.col("node").alias("label"), F.col("label").alias("least"))
+            labels = settled(
+                labels.join(least, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels"
+            )
+        ends = [trees.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b")]
+        edges = edges.join(ends[0], "a").join(ends[1], "b").filter("la <> lb")
+        edges = edges.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
+        edges = settled(edges.distinct(), "edges")
+        if edges.isEmpty():
             return labels
 
 
+def _rooted(hooks: DataFrame) -> DataFrame:
+    """(`node`, `label`) with each node's label followed up to the node that is its own."""
+    while True:
+        far = hooks.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        step = settled(hooks.join(far, "label").select("node", "label", "far"), "hooks")
+        if step.filter("far <> label").isEmpty():
+            return step.select("node", "label")
+        hooks = step.select("node", F.col("far").alias("label"))
+
+
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """(`node`, `label`) after further links: only the labels that these join are worked on."""
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()

@@ -6,6 +6,7 @@ from frames import awkward, awkward_rows, documents, empty, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from stockloom.llm import components as trees
 from stockloom.llm import near_dedup, substring_dedup
 from stockloom.llm.components import components
 from stockloom.llm.edit import best_part, within
@@ -198,3 +199,35 @@ def test_texts_at_the_border_of_short_and_long_share_tuples(spark):
         rows += [(2 * n, " ".join(own), "en", "a"), (2 * n + 1, " ".join(copy[: 32 + n % 2]), "en", "a")]
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(documents(spark, rows)).collect()}
     assert sum(got[2 * n + 1] == 2 * n for n in range(60)) >= 59
+
+
+def test_components_read_a_link_again_only_while_it_joins_two_trees(spark, monkeypatch):
+    lucky, wrote = random.Random(5), []
+    keep = trees.settled
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        wrote.append(out.count())
+        return out
+
+    monkeypatch.setattr(trees, "settled", counted)
+    names = lucky.sample(range(-(10**6), 10**6), 1200)
+    star = [(names[0], x) for x in names[1:600]]
+    chain = list(zip(names[600:900], names[601:900], strict=False))
+    some = [tuple(lucky.sample(names[900:], 2)) for _ in range(200)]
+    links = star + chain + some
+    up = {x: x for link in links for x in link}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        up[high] = low
+    frame = spark.createDataFrame(links, "a long, b long")
+    assert {r.node: r.label for r in components(frame).collect()} == {x: top(x) for x in up}
+    wrote.clear()
+    components(spark.createDataFrame([(0, x) for x in range(1, 2000)], "a long, b long"))
+    assert sum(wrote) < 4 * 2000

@@ -18,7 +18,11 @@ and the sampled places are further apart than the band.
 Tables propose in waves (`WAVES`): the first few join most copies, and a later table's
 buckets count only where they still hold several components. In a wave a bucket has one
 pivot, out of its largest component, so only what is outside is compared. Further
-pivots come after the last wave, in the buckets that are still open.
+pivots come after the last wave, in the buckets that are still open. Where more than
+`GROWTH` members wait for that (texts that share a passage or have few different words),
+their texts meet by their rarest words instead, which leaves out no pair within the limit.
+
+Tuples that nobody shares are found by 44 bits of their hash and never shuffled as rows.
 """
 
 from __future__ import annotations
@@ -48,10 +52,15 @@ BINS = 128
 SIMILARITY = 0.8  # 1 - word edits / words of the longer text
 CHUNK = 1 << 20  # bytes of text handled at once
 GROWTH = 16  # of the number of pivots per round
+CELL_BITS = 44  # of a tuple's hash, by which those that may be shared are found
+MOST_BITS = 28  # of the filter of these: 32 MB
+MOST_OWN = 256  # buckets by words that a text's rows list; of a text with more, a pair may be made more than once
+WORD_BITS = 16  # bins in which words of crowded buckets are counted
 WAVES = (4, 16)  # tables that have proposed after each wave but the last
 
 
-STATE = ["h", "node", "n", "place", "bag", "mass", "label", "now", "served"]
+MEMBER = ["h", "node", "n", "place", "label", "bag", "mass"]
+STATE = [*MEMBER, "now", "served", "own"]
 
 
 def tables_for(sample: int, similarity: float, least: int, most: int, recall: float = RECALL) -> int:
@@ -170,6 +179,59 @@ def sketches(docs: DataFrame, similarity: float, sample: int, recall: float) ->
     return rows.mapInArrow(run, schema)
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """(`cell`): the first 44 bits of the tuples that occur twice or more, four bytes sent for each tuple.
+
+    The first 12 bits are the group, the other 32 are what is sent. Copies of a text count
+    too and tuples may agree in 44 bits by chance, so what is found is more than the
+    shared tuples, never less.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys").flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - CELL_BITS)
+            cells, times = np.unique(keys, return_counts=True)
+            cells = np.repeat(cells, np.minimum(times, 2))
+            groups = (cells >> np.uint64(32)).astype(np.int32)
+            spans = np.searchsorted(groups, np.arange((1 << CELL_BITS - 32) + 1))
+            low = cells.astype(np.uint32)
+            own = np.flatnonzero(spans[1:] > spans[:-1])
+            sent = [low[spans[g] : spans[g + 1]].tobytes() for g in own]
+            yield pa.record_batch({"part": pa.array(own, pa.int32()), "sent": pa.array(sent, pa.binary())})
+
+    def meet(part: pa.Table) -> pa.Table:
+        low = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in part.column("sent")]))
+        low = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.int64)
+        return pa.table({"cell": pa.array((part.column("part")[0].as_py() << 32) + low, pa.int64())})
+
+    return rows.select("keys").mapInArrow(deal, "part int, sent binary").groupBy("part").applyInArrow(meet, "cell long")
+
+
+def _entries(rows: DataFrame, short: int, border: int) -> DataFrame:
+    """(`h`, `node`, `n`, `place`, `table`) of the tuples that may be shared. Others meet nobody and are not shuffled."""
+    cells = settled(_cells(rows), "shared-cells")
+    bits = bitmaps.bits_for(cells.count(), MOST_BITS)
+    wanted = rows.sparkSession.sparkContext.broadcast(bitmaps.bitmap(cells, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("keys")
+            sizes = np.diff(column.offsets.to_numpy())
+            keys = column.flatten().to_numpy(zero_copy_only=False)
+            places = batch.column("places").flatten().to_numpy(zero_copy_only=False)
+            n = np.repeat(batch.column("n").to_numpy(), sizes)
+            at = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at -= np.where((n >= LONG) & (n <= border) & (at >= short), short, 0)  # long tuples after the short ones
+            cell = (keys.view(np.uint64) >> np.uint64(64 - CELL_BITS)).view(np.int64)
+            own = np.flatnonzero(bitmaps.has(wanted.value, cell, bits)) if len(keys) else []
+            if len(own):
+                node = np.repeat(batch.column("node").to_numpy(), sizes)
+                out = {"h": keys[own], "node": node[own], "n": n[own], "place": places[own], "table": at[own].astype(np.int32)}
+                yield pa.record_batch({k: pa.array(v) for k, v in out.items()})
+
+    return rows.select("node", "n", "keys", "places").mapInArrow(run, "h long, node long, n int, place int, table int")
+
+
 def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(`node`, `words`) of the texts in `nodes`: 32 bits per word. A filter thins the texts before they are joined."""
     bits = bitmaps.bits_for(nodes.count())
@@ -219,16 +281,62 @@ def linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(lambda batches: _aligned(batches, similarity), "a long, b long")
 
 
+def _rarest(crowd: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Members of buckets by single words, for the texts of (`node`, `n`, `label`, `bag`, `mass`).
+
+    Of n words, a text within the limit lacks at most limit(n) (a repeat counts as a word of
+    its own). So in any one order of all words, the first limit(n) + 1 of two such texts have one in
+    common: no pair within the limit is left out. The order is by how often a word occurs in
+    these texts, counted in 65536 bins; the rarest come first, so texts that share
+    a passage or usual words do not meet for that.
+    """
+    texts = settled(crowd.join(words, "node"), "crowd-words")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(1 << WORD_BITS, np.int64)
+        for batch in batches:
+            for x in batch.column("words"):
+                times += np.bincount(bitmaps.slot(_repeats(x), WORD_BITS), minlength=len(times))
+        at = np.flatnonzero(times)
+        yield pa.record_batch({"bin": pa.array(at, pa.int64()), "times": pa.array(times[at], pa.int64())})
+
+    often = np.zeros(1 << WORD_BITS, np.int64)
+    bins = texts.select("words").mapInArrow(counted, "bin long, times long").groupBy("bin").agg(F.sum("times").alias("times"))
+    for r in bins.collect():
+        often[r["bin"]] = r["times"]
+    order = texts.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x in batch.column("words"):
+                own = _repeats(x)
+                limit = int((1 - similarity) * len(own) + 1e-9)
+                times = order.value[bitmaps.slot(own, WORD_BITS)]
+                first = np.lexsort((own, times))[: limit + 1]
+                found.append(own[first[times[first] > 1]])  # a word that occurs once is shared by nobody
+            if sum(map(len, found)):
+                at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                rows = {c: batch.column(c).take(at) for c in ("node", "n", "label", "bag", "mass")}
+                yield pa.record_batch({"h": pa.array(np.concatenate(found).view(np.int64)), **rows})
+
+    rows = texts.select("node", "n", "label", "bag", "mass", "words")
+    found = rows.mapInArrow(run, "h long, node long, n int, label long, bag array<tinyint>, mass int")
+    return found.withColumn("place", F.lit(0))
+
+
+def _repeats(words: pa.Scalar) -> np.ndarray:
+    """The words of a text, each told apart by how often it has occurred before."""
+    return _labelled(np.frombuffer(words.as_py(), np.uint32).astype(np.uint64))
+
+
 def text_classes(
     docs: DataFrame, similarity: float = SIMILARITY, sample: int = SAMPLE, recall: float = RECALL
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Sketches of all documents; links (`a`, `b`) between nodes; (`node`, `label`) of linked nodes."""
     rows_of = settled(sketches(docs, similarity, sample, recall), "order-minhash")
     (_, border, _, short, _), _ = _kinds(similarity, sample, recall)
-    again = (F.col("n") >= LONG) & (F.col("n") <= border) & (F.col("at") >= short)  # long tuples after the short ones
-    entries = rows_of.select("node", "n", F.posexplode(F.arrays_zip("keys", "places")).alias("at", "e")).select(
-        F.col("e.keys").alias("h"), "node", "n", F.col("e.places").alias("place"), (F.col("at") - F.when(again, short).otherwise(0)).alias("table")
-    )
+    entries = settled(_entries(rows_of, short, border), "bucket-entries")
     shared = entries.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = settled(entries.join(shared.select("h"), "h").distinct(), "buckets")
     if members.isEmpty():
@@ -238,25 +346,32 @@ def text_classes(
     mass = F.aggregate("bag", F.lit(0), lambda total, x: total + x.cast("int"))
     bags = rows_of.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag"))
     bags = settled(bags.withColumn("mass", mass), "bucket-bags")
-    found, begin = Found(words, similarity), 0
+    found, begin, state = Found(words, similarity), 0, None
     for end in (*WAVES, None):
         own = members.filter(F.col("table") >= begin if end is None else F.col("table").between(begin, end - 1))
-        found.add(_open(own, bags, found.labels))
-        begin = end
-    state = _open(members, bags, found.labels, turn=1)
-    many = GROWTH
+        own = _open(_labelled_by(own, found.labels), bags)
+        found.add(own)
+        state, begin = own if state is None else state.unionByName(own), end  # a bucket that is closed once stays closed
+    many, parted = GROWTH, False
     while not state.isEmpty():
-        found.add(state)
-        state = _labelled_by(state.drop("label"), found.labels)
+        state = settled(_labelled_by(state.drop("label"), found.labels), "bucket-labels")
         # members that were not yet pivot, outside the component that most of those belong to
         waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"))
         main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
-        state = state.join(main.filter("all > most").select("h", "main"), "h")
+        main = main.filter("all > most").select("h", "main", (F.col("all") - F.col("most") > GROWTH).alias("crowded"))
+        state = settled(state.join(main, "h"), "bucket-state")
+        crowded = F.col("crowded") & F.lit(not parted)
         waits = ~F.col("served") & (F.col("label") != F.col("main"))
         turn = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        ahead = state.filter(waits).withColumn("now", turn <= many).withColumn("served", F.col("now"))
-        rest = state.filter(~waits).withColumn("now", F.lit(False))
-        state = settled(ahead.select(STATE).unionByName(rest.select(STATE)), "bucket-state")
+        ahead = state.filter(~crowded & waits).withColumn("now", turn <= many).withColumn("served", F.col("now"))
+        rest = state.filter(~crowded & ~waits).withColumn("now", F.lit(False))
+        if not parted:
+            crowd = settled(state.filter(crowded).select("node", "n", "label", "bag", "mass").dropDuplicates(["node"]), "crowd")
+        state = ahead.select(STATE).unionByName(rest.select(STATE))
+        if not parted and not crowd.isEmpty():
+            state = state.unionByName(_open(_rarest(crowd, words, similarity), None))
+        state, parted = settled(state, "bucket-state"), True
+        found.add(state)
         many *= GROWTH
     return rows_of, found.links, found.labels
 
@@ -268,17 +383,26 @@ def _labelled_by(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _open(members: DataFrame, bags: DataFrame, labels: DataFrame | None, turn: int = 0) -> DataFrame:
-    """Buckets that hold several components, each with one pivot out of its largest; another `turn`, another pivot."""
-    members = settled(_labelled_by(members, labels), "wave")
-    luck = F.struct(F.xxhash64("node", "h", F.lit(turn)).alias("luck"), "node")
+def _open(members: DataFrame, bags: DataFrame | None) -> DataFrame:
+    """Buckets that hold several components, each with one pivot out of its largest.
+
+    With no `bags`, the members are those of `_rarest`: they have their bags, and
+    `own`, all such buckets of a text, so that a pair is made in one of them only.
+    """
+    members = settled(members, "wave")
+    several = members.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    members = settled(members.join(settled(several.select("h"), "open"), "h"), "wave")
+    luck = F.struct(F.xxhash64("node", "h").alias("luck"), "node")
     parts = members.groupBy("h", "label").agg(F.struct(F.count(F.lit(1)).alias("m"), F.min(luck).alias("first")).alias("part"))
-    chosen = parts.groupBy("h").agg(
-        F.max("part")["first"]["node"].alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
+    chosen = parts.groupBy("h").agg(F.max("part")["first"]["node"].alias("pivot"))
     pivot = F.col("node") == F.col("pivot")
-    state = members.join(chosen.filter("low < high").select("h", "pivot"), "h").withColumn("now", pivot).withColumn("served", pivot)
-    return settled(state.join(bags, "node").select(STATE), "bucket-state")
+    state = members.join(chosen, "h").withColumn("now", pivot).withColumn("served", pivot)
+    if bags is None:
+        state = state.withColumn("own", F.collect_list("h").over(Window.partitionBy("node")))
+        state = state.withColumn("own", F.when(F.size("own") <= MOST_OWN, F.col("own")))
+    else:
+        state = state.join(bags, "node").withColumn("own", F.lit(None).cast("array<long>"))
+    return settled(state.select(STATE), "bucket-state")
 
 
 class Found:
@@ -307,15 +431,22 @@ def _pairs(state: DataFrame, gap: float) -> DataFrame:
     At least as many words must be edited before the sampled word, and after it, as
     the two texts differ there; and at least as many as one bag lacks of the other.
     Pairs for which that is more than the band are left out, before any text is read.
+    Members that were pivots before have been compared with the whole bucket, and of two
+    present pivots only one looks at the other.
     """
     pivots = state.filter("now").select(*[F.col(c).alias(f"p_{c}") for c in STATE])
+    # of the buckets by words where p is pivot and that hold both, the first makes the pair
+    turns = F.when(F.col("p_own").isNotNull(), F.collect_list("p_h").over(Window.partitionBy("p_node", F.col("p_own").isNull())))
+    pivots = pivots.withColumn("p_own", turns)
     ahead = F.abs(F.col("place") - F.col("p_place"))
     behind = F.abs((F.col("n") - F.col("place")) - (F.col("p_n") - F.col("p_place")))
     apart = F.zip_with("bag", "p_bag", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
     apart = F.aggregate(apart, F.lit(0), lambda total, x: total + x) + F.abs(F.col("mass") - F.col("p_mass"))
     limit = gap * F.greatest("n", "p_n") + 1e-9
     near = (F.col("label") != F.col("p_label")) & (ahead + behind <= limit) & (apart / 2 <= limit)
-    joined = state.join(pivots, (F.col("h") == F.col("p_h")) & near)
+    fresh = ~F.col("served") | (F.col("now") & (F.col("node") < F.col("p_node")))
+    once = F.coalesce(F.array_min(F.array_intersect("own", "p_own")) == F.col("h"), F.lit(True))
+    joined = state.filter("now or not served").join(pivots, (F.col("h") == F.col("p_h")) & near & fresh & once)
     return joined.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 
 

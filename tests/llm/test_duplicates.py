@@ -5,6 +5,7 @@ import pytest
 from frames import awkward, awkward_rows, documents, empty, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stockloom.llm import components as trees
 from stockloom.llm import near_dedup, substring_dedup
@@ -201,6 +202,68 @@ def test_texts_at_the_border_of_short_and_long_share_tuples(spark):
     assert sum(got[2 * n + 1] == 2 * n for n in range(60)) >= 59
 
 
+def test_texts_that_share_a_passage_meet_by_their_rare_words(spark, monkeypatch):
+    """Buckets crowded by a common passage: copies are found all the same, and few of the other pairs are read."""
+    passage = prose(24, 1, 3000)
+    rows = [(i, f"{passage} {prose(10, 100 + i, 3000)}", "en", "a") for i in range(150)]
+    rows += [(1000 + i, _edited(rows[i][1], 3, i), "en", "a") for i in range(0, 150, 5)]
+    crowds, seen = [], []
+    rarest, linked = near_dedup._rarest, near_dedup.linked
+
+    def crowded(crowd, words, similarity):
+        crowds.append(crowd.count())
+        return rarest(crowd, words, similarity)
+
+    def counted(pairs, words, similarity):
+        seen.append(pairs.count())
+        return linked(pairs, words, similarity)
+
+    monkeypatch.setattr(near_dedup, "_rarest", crowded)
+    monkeypatch.setattr(near_dedup, "linked", counted)
+    got = near_dedup.near_duplicates(documents(spark, rows)).collect()
+    top, members = _classes(rows), defaultdict(list)
+    for i, t, *_ in rows:
+        members[top[t]].append(i)
+    assert {r.doc_id: r.class_id for r in got} == {i: min(members[top[t]]) for i, t, *_ in rows}
+    assert len(crowds) == 1 and crowds[0] > 100 and sum(seen) < 10 * len(rows)
+
+
+def test_any_two_texts_within_the_limit_have_a_rare_word_in_common(spark):
+    rows = [(i, prose(10 + 7 * (i % 9), i // 2, 40), "en", "a") for i in range(80)]
+    rows += [(100 + i, _edited(t, len(t.split()) // 5, i), "en", "a") for i, t, *_ in rows]
+    texts = near_dedup.sketches(documents(spark, rows), 0.8, 6, 0.999).dropDuplicates(["node"])
+    mass = F.aggregate("bag", F.lit(0), lambda total, x: total + x.cast("int"))
+    crowd = texts.select("node", "n", F.col("node").alias("label"), "bag", mass.alias("mass"))
+    words = near_dedup._words_of(documents(spark, rows), texts.select("node"))
+    held = defaultdict(set)
+    for r in near_dedup._rarest(crowd, words, 0.8).collect():
+        held[r.node].add(r.h)
+    split = {near_dedup._key(t): t.lower().split() for _, t, *_ in rows}
+    near = 0
+    for a in split:
+        for b in split:
+            if a < b and within(split[a], split[b], int(0.2 * max(len(split[a]), len(split[b])) + 1e-9)) is not None:
+                near += 1
+                assert held[a] & held[b]
+    assert near >= 80 and all(len(held[x]) <= len(w) // 5 + 1 for x, w in split.items())
+
+
+def test_tuples_that_nobody_shares_are_not_shuffled(spark):
+    rows = [(i, prose(30 + i % 60, i, 5000), "en", "a") for i in range(300)]
+    rows += [(1000 + i, _edited(rows[i][1], 3, i), "en", "a") for i in range(20)]
+    found = near_dedup.sketches(documents(spark, rows), 0.8, 6, 0.999).cache()
+    (_, border, _, short, _), _ = near_dedup._kinds(0.8, 6, 0.999)
+    every = defaultdict(set)
+    for r in found.collect():
+        for at, (h, place) in enumerate(zip(r["keys"], r["places"], strict=True)):
+            again = near_dedup.LONG <= r.n <= border and at >= short
+            every[h].add((r.node, r.n, place, at - short * again))
+    shared = {(h, *x) for h, own in every.items() if len({x[0] for x in own}) > 1 for x in own}
+    got = {(r.h, r.node, r.n, r.place, r.table) for r in near_dedup._entries(found, short, border).collect()}
+    assert shared and shared <= got <= {(h, *x) for h, own in every.items() for x in own}
+    assert len(got) < len(shared) + 0.1 * sum(map(len, every.values()))
+
+
 def test_components_read_a_link_again_only_while_it_joins_two_trees(spark, monkeypatch):
     lucky, wrote = random.Random(5), []
     keep = trees.settled

@@ -19,7 +19,7 @@ Tables propose in waves (`WAVES`): the first few join most copies, and a later t
 buckets count only where they still hold several components. In a wave a bucket has one
 pivot, out of its largest component, so only what is outside is compared. Further
 pivots come after the last wave, in the buckets that are still open. Where more than
-`GROWTH` members wait for that (texts that share a passage or have few different words),
+`GROWTH` members wait for that, and more than a text has rare words (texts that share a passage or have few different words),
 their texts meet by their rarest words instead, which leaves out no pair within the limit.
 
 Tuples that nobody shares are found by 44 bits of their hash and never shuffled as rows.
@@ -356,9 +356,9 @@ def text_classes(
     while not state.isEmpty():
         state = settled(_labelled_by(state.drop("label"), found.labels), "bucket-labels")
         # members that were not yet pivot, outside the component that most of those belong to
-        waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"))
-        main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
-        main = main.filter("all > most").select("h", "main", (F.col("all") - F.col("most") > GROWTH).alias("crowded"))
+        waiting = state.groupBy("h", "label").agg(F.sum((~F.col("served")).cast("int")).alias("m"), F.max("n").alias("n"))
+        main = waiting.groupBy("h").agg(F.max_by("label", "m").alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"), F.max("n").alias("n"))
+        main = main.filter("all > most").select("h", "main", (F.col("all") - F.col("most") > F.greatest(F.lit(GROWTH), F.col("n") * (1 - similarity) + 1)).alias("crowded"))
         state = settled(state.join(main, "h"), "bucket-state")
         crowded = F.col("crowded") & F.lit(not parted)
         waits = ~F.col("served") & (F.col("label") != F.col("main"))

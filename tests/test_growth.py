@@ -9,8 +9,8 @@ from test_queries import FOLDER
 
 from stockloom.catalog import extracts
 from stockloom.catalog import queries as catalog
-from stockloom.operators import build, facts, reshape
-from stockloom.plans import load
+from stockloom.operators import build, facts, reshape, search
+from stockloom.plans import joins, load
 from stockloom.sources import store, tables
 
 
@@ -143,3 +143,37 @@ def test_an_expansion_stores_each_edge_once(spark, monkeypatch):
     assert stored["edges"].columns == ["subject", "object"]
     x = extracts.Extracts(spark, FOLDER)
     assert stored["edges"].count() == facts.all_edges(x.graph).count()
+
+
+def test_a_search_stores_edges_not_their_words(spark, monkeypatch):
+    stored = {}
+    keep = catalog.settled
+    monkeypatch.setattr(catalog, "settled", lambda df, purpose: stored.setdefault(purpose, keep(df, purpose)))
+    assert not catalog.queries()["fact_search"](spark, FOLDER).isEmpty()
+    assert not {"uuid", "fact"} & set(stored["facts"].columns)
+    x = extracts.Extracts(spark, FOLDER)
+    told = facts.worded(stored["facts"])
+    assert told.exceptAll(facts.edge_facts(x.graph, measured=True)).isEmpty() and not told.isEmpty()
+
+
+@pytest.mark.parametrize("little", [True, False])
+def test_facts_near_a_seed_are_found_where_they_lie(spark, no_broadcast, monkeypatch, little):
+    """Neither what is near nor what is wanted deals the facts out; both ways find the same."""
+    written = {}
+    monkeypatch.setattr(search, "settled", lambda df, purpose: written.setdefault(purpose, joins.settled(df, purpose)))
+    if not little:
+        monkeypatch.setattr(search, "SENT_NEAR", 0)
+        monkeypatch.setattr(search, "SENT_ITEMS", 0)
+    rows = [("u1", "a", "b"), ("u2", "b", "a"), ("u3", "c", "a"), ("u4", "c", "d"), ("u5", None, "b"), ("u6", "b", "b"), ("u7", "d", "c")]
+    some = spark.createDataFrame(rows, "uuid string, subject string, object string")
+    reached = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (1, "b", 2), (2, "d", 0)], "query_id int, node string, distance int")
+    near, sizes = search._near(some, reached)
+    want = [(1, "u1", 1), (1, "u2", 1), (1, "u3", 1), (1, "u5", 2), (1, "u6", 2), (2, "u4", 1), (2, "u7", 1)]
+    assert sorted(tuple(r) for r in near.collect()) == want
+    assert sorted(tuple(r) for r in sizes.collect()) == [(1, 1, 3), (1, 2, 2), (2, 1, 2)]
+    assert ("near_facts" in written) == (not little)
+    items = spark.createDataFrame([("u2",), ("u9",)], "uuid string")
+    found = search._among(some, items, "uuid")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == little
+    assert [r.uuid for r in found.collect()] == ["u2"]

@@ -177,3 +177,58 @@ def test_facts_near_a_seed_are_found_where_they_lie(spark, no_broadcast, monkeyp
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin" in plan) == little
     assert [r.uuid for r in found.collect()] == ["u2"]
+
+
+def test_stakes_are_compared_for_doubtful_holders_alone(spark, no_broadcast, tmp_path):
+    """A name that is no company's but a company's symbol leads to that company's holder; only its rows are dealt out."""
+    named = spark.createDataFrame([("A", "Alpha"), ("B", "Beta"), ("C", "Alpha")], "symbol string, name string")
+    held = [("Alpha", "B", 1.0), ("A", "B", 2.0), ("Beta", "A", 3.0), ("Fund", "A", 4.0), ("Fund", "B", 5.0)]
+    rows = build.resolve_holders(spark.createDataFrame(held, "holder_name string, target string, stake_percent double"), named)
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    doubtful = joins.settled(build.doubtful_holders(rows, named), "doubtful")
+    assert [r.holder for r in doubtful.collect()] == ["A"]
+    found = build.stake_edges(rows, F.broadcast(doubtful))
+    assert shuffles(found) == 1 and "LeftAnti" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, build.stake_edges(rows).collect()))
+
+
+def test_officers_are_taken_from_the_stored_trades(spark):
+    """Also of lines whose order or supplier nobody has, which are no trades."""
+    x = extracts.Extracts(spark, FOLDER)
+    some = F.col("o_orderkey") % 3 > 0
+    x._tables |= {"orders": x.table("orders").filter(some), "supplier": x.table("supplier").filter("s_suppkey > 2")}
+    trades = x._trades
+    assert trades.filter("NOT traded").count() > 0
+    for name in ("officers", "shareholders", "subsidiaries"):
+        stored, plain = getattr(x.load_sources, name), getattr(x, name)
+        assert stored.count() == plain.count() > 0 and stored.exceptAll(plain).isEmpty()
+    lines = x.table("lineitem").join(x.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(x.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    assert x.shareholders.count() == lines.count() < x.officers.count() == x.table("lineitem").count()
+    plan = x.load_sources.officers._jdf.queryExecution().optimizedPlan().toString()
+    assert "trades" in x.load_sources.officers.inputFiles()[0] and "Join" not in plan
+
+
+def test_shared_objects_are_looked_up_once_each(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(facts, "settled", lambda df, purpose: written.setdefault(purpose, joins.settled(df, purpose)))
+    make = spark.createDataFrame
+    tables = {
+        "company": make([("A", "Alpha"), ("B", "B"), ("Bank", "Banking"), ("C", None)], "symbol string, name string"),
+        "belongs_to_industry": make([("A", "Bank"), ("B", "Steel")], "symbol string, industry string"),
+        "industry_in_sector": make([("Bank", "Money")], "industry string, sector string"),
+        "subsidiary_of": make([("B", "A"), ("C", "A"), ("A", "B")], "child string, parent string"),
+        "holds_stake_in": make([("A", "B"), ("Z", "A"), ("Bank", "A")], "holder string, target string"),
+        "led_by": make([("A", "Ann")], "symbol string, officer_name string"),
+        "stock_price": make([], "symbol string, date date"),
+        "financial_statement": make([], "symbol string, statement_type string, period string, year int, quarter int"),
+        "financial_indicator": make([], "symbol string, metric string, year int, quarter int"),
+    }
+    graph = load.Graph(**{name: (lambda df=df: df) for name, df in tables.items()})
+    found = facts.edge_facts(graph, measured=True)
+    plain = facts.edge_facts(graph)
+    assert found.columns == plain.columns and found.count() == plain.count() == 10
+    assert found.exceptAll(plain).isEmpty()
+    assert {"Alpha (A) holds a stake in B", "C is a subsidiary of Alpha (A)", "Alpha (A) belongs to industry Banking (Bank)"} <= {r.fact for r in found.collect()}
+    assert sorted(r.object for r in written["shared_objects"].collect()) == ["A", "Bank"]

@@ -1,5 +1,6 @@
 """What must not grow with the tables: a task's share and its memory."""
 
+import datetime
 import glob
 import os
 
@@ -232,3 +233,26 @@ def test_shared_objects_are_looked_up_once_each(spark, monkeypatch):
     assert found.exceptAll(plain).isEmpty()
     assert {"Alpha (A) holds a stake in B", "C is a subsidiary of Alpha (A)", "Alpha (A) belongs to industry Banking (Bank)"} <= {r.fact for r in found.collect()}
     assert sorted(r.object for r in written["shared_objects"].collect()) == ["A", "Bank"]
+
+
+def test_a_merge_deals_its_rows_out_once(spark, no_broadcast, monkeypatch):
+    """Stored rows and the load's meet in one shuffle, by slices of their parts; a row without a key replaces none."""
+    monkeypatch.setattr(store, "SLICE_ROWS", 4)
+    make = lambda rows: spark.createDataFrame(rows, "symbol string, date date, close double, load bigint")
+    day = lambda i: datetime.date(2024, 1 + i % 2, 1 + i % 9)
+    old = [(f"S{i}", day(i), float(i), 1) for i in range(40)] + [(None, day(0), 1.0, 1)]
+    new = [(f"S{i}", day(i), -float(i), 2) for i in range(30, 50)] + [("S1", day(2), 9.0, 2), (None, day(0), 2.0, 2)]
+    merged = store._merged(make(old), make(new), store._part("stock_price"), "stock_price", store.KEYS["stock_price"])
+    assert shuffles(merged) == 1
+    want = [r for r in old if r[0] is None or int(r[0][1:]) < 30] + new
+    assert sorted(map(repr, (tuple(r)[:4] for r in merged.collect()))) == sorted(map(repr, want))
+    assert {r.part for r in merged.collect()} == {"2024-01", "2024-02"}
+
+
+def test_a_company_only_referred_to_gives_way(spark):
+    make = lambda rows: spark.createDataFrame(rows, "symbol string, name string, exchange string, load bigint")
+    old = [("A", "Alpha", "X", 1), ("B", "B", None, 1), ("C", "C", None, 1), ("D", "D", "X", 1)]
+    new = [("A", "A", None, 2), ("B", "Beta", "X", 2), ("C", "C two", None, 2), ("E", "E", None, 2), ("F", "F", "X", 2), ("F", "F", None, 2)]
+    merged = store._merged(make(old), make(new), store._part("company"), "company", store.KEYS["company"])
+    found = sorted((r.symbol, r.name, r.load) for r in merged.collect())
+    assert found == [("A", "Alpha", 1), ("B", "Beta", 2), ("C", "C", 1), ("D", "D", 1), ("E", "E", 2), ("F", "F", 2)]
